@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,25 +19,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; one of our own only where none is set, as in tests."""
+_OWN: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the session names in spark.checkpoint.dir; one of our own only where none is set, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if where is None:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        where = have.get() if have.isDefined() else None
-    if where is None:
-        import tempfile
-
-        where = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(where)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="shared-")
+            atexit.register(shutil.rmtree, _OWN[app].removeprefix("file://"), True)
+        where = _OWN[app]
     return where
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder: nothing before it runs again, and lost executors don't matter."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table in the shared folder: nothing before it runs again, and lost executors don't matter.
+
+    Unlike ``checkpoint()`` the rows are computed once, not once to count and once to write.
+    """
+    spark = df.sparkSession
+    where = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    return spark.read.schema(df.schema).parquet(where)
+
+
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes the files of tables from ``cut`` once no later step reads them."""
+    jvm = spark.sparkContext._jvm
+    for t in tables:
+        for f in {x.rpartition("/")[0] for x in t.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.pii import op9_personal_data
 from llm.quality import op7_line_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_quality": op7_line_quality,
+    "op9_personal_data": op9_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {}
