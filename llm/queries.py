@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.pii import op9_personal_data
 from llm.quality import op7_line_quality
+from llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op7_line_quality": op7_line_quality,
     "op9_personal_data": op9_personal_data,
 }
