@@ -12,7 +12,9 @@ most ``most_rows`` texts.
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,10 +38,12 @@ PATTERNS: tuple[tuple[str, re.Pattern[str]], ...] = (
 
 @dataclass(frozen=True)
 class Supervision:
-    most_words: int = 200  # lexicon voters
+    most_words: int = 400  # lexicon voters: words and stems
     most_rows: int = 20_000  # labelled texts on which lexicon, label model and classifier are fitted
     least_texts: int = 4  # labelled toxic texts a lexicon word is in
+    chance: float = 8.0  # powers of ten
     least_lift: float = 8.0  # how much more frequent a lexicon word is in toxic texts
+    least_precision: float = 0.8  # toxic share of the texts with a lexicon feature
     rounds: int = 60
     seed_words: tuple[str, ...] = SEED_WORDS
     threshold: float = 0.3
@@ -56,13 +60,22 @@ class ToxicityModel:
     correlated: tuple[tuple[int, int], ...] = ()
 
 
+#: Lengths of stems: inflected and compounded words share one.
+STEMS = (4, 5, 6)
+
+
 def terms(text: str) -> set[str]:
     return set(_TERM.findall(text.lower()))
 
 
+def word_features(words: set[str]) -> set[str]:
+    """Words, written =word, and the stems of longer words."""
+    return {f"={w}" for w in words}.union(*({w[:n] for w in words if len(w) > n} for n in STEMS))
+
+
 def _votes(text: str, have: set[str], at: dict[str, int]) -> np.ndarray:
     out = np.zeros(len(at) + len(PATTERNS), dtype=np.float64)
-    for w in have & at.keys():
+    for w in word_features(have) & at.keys():
         out[at[w]] = 1
     for k, (_, p) in enumerate(PATTERNS):
         if p.search(text):
@@ -71,37 +84,59 @@ def _votes(text: str, have: set[str], at: dict[str, int]) -> np.ndarray:
 
 
 def lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, how: Supervision) -> tuple[str, ...]:
-    """Seed words, and words that toxic texts have far more often than clean ones, the strongest first, ties in order of the alphabet.
+    """Seed words, and features that toxic texts have far more often than clean ones, the strongest first, ties in order of the alphabet.
 
-    ``counts``: a word, and the toxic and clean families of texts it is in; near copies are one family.
+    ``counts``: a feature, the families of toxic texts and the clean texts it is in;
+    near copies are one family.  A feature must be so lopsided that chance would bring
+    it about once in 10**``chance`` features.  What only continues a chosen stem that
+    clean texts hardly have says nothing new and is left out.
     """
+    p = min(0.5, max(1, toxic) / max(1, toxic + clean))
     lift = {w: (a / max(1, toxic)) / ((b + 0.5) / max(1, clean)) for w, a, b in counts if a >= how.least_texts}
-    much = {w: a for w, a, _ in counts}
-    # a rare word needs a higher lift: chance alone gives some words a few toxic texts and no clean one
-    chosen = [w for w, x in lift.items() if x >= how.least_lift * (1 + 40 / much[w])]
-    chosen.sort(key=lambda w: (-much[w] * np.log(lift[w]), w))
-    return tuple(dict.fromkeys([*how.seed_words, *chosen]))[: how.most_words]
-
-
-def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, tuple[tuple[int, int], ...]]:
-    """Accuracies, log-odds weights and correlated pairs of voters, by expectation-maximisation.
-
-    A voter fires or abstains; P(fires | class) is estimated for both classes.  Pairs
-    that agree far beyond what the classes explain count as correlated, and share their
-    evidence: each's weight is divided by one more than the number of its partners.
+    much = {w: (a, b) for w, a, b in counts}
+    odd = {w: much[w][0] * math.log10(1 / p) - math.log10(math.comb(sum(much[w]), much[w][0])) for w in lift}
+    ranked = sorted((w for w in lift if lift[w] >= how.least_lift and odd[w] >= how.chance and much[w][0] >= how.least_precision * sum(much[w])), key=lambda w: (-odd[w], w))
+    chosen: list[str] = [f"={w}" for w in how.seed_words]
+    pure: set[str] = set()
+    for w in ranked:
+        bare, (a, b) = w.lstrip("="), much[w]
+        if len(chosen) < how.most_words and w not in chosen and not any(bare[:n] in pure for n in STEMS):
+            chosen.append(w)
+            if w == bare and b <= 0.02 * a:
+                pure.add(w)
+    return tuple(chosen[: how.most_words])
+
+
+def _groups(dependent: np.ndarray) -> np.ndarray:
+    """A number for each voter, the same for voters joined by a chain of correlated pairs."""
+    group = np.arange(len(dependent))
+    while True:
+        low = np.minimum(group, np.where(dependent, group[None, :], len(group)).min(1, initial=len(group)))
+        if (low == group).all():
+            return group
+        group = low
+
+
+def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[tuple[int, int], ...]]:
+    """Posterior labels, accuracies, log-odds weights and correlated pairs of voters, by expectation-maximisation.
+
+    A voter fires or abstains; how often it fires in either class is estimated, and an
+    abstention is no evidence.  Pairs that agree far beyond what the classes explain
+    are correlated; of correlated voters that fire on a text only the strongest counts.
+    Texts on which none fires have a share of their own.
     """
     n, k = votes.shape
-    q = np.clip(np.where(votes.sum(1) > 0, 0.5 + 0.5 * prior, prior * 0.2), 1e-3, 1 - 1e-3)
+    some = votes.any(1)
+    q = np.clip(np.where(some, 0.5, prior * 0.2), 1e-3, 1 - 1e-3)
     q = 0.5 * q + 0.5 * np.clip(gold, 0.02, 0.98)
     fires = votes.sum(0)
-    one = zero = np.zeros(k)
-    share = np.ones(k)
+    group = np.arange(k)
     pairs: tuple[tuple[int, int], ...] = ()
+    one = zero = np.zeros(k)
     for step in range(rounds):
         one = (q @ votes + 0.05) / (q.sum() + 0.1)
         zero = ((1 - q) @ votes + 0.05) / ((1 - q).sum() + 1.0)
         weights = np.log(one / zero)
-        quiet = np.log((1 - one) / (1 - zero))
         if step == rounds // 2:
             joint = votes.T @ votes / n
             p = q.mean()
@@ -109,14 +144,21 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
             spread = np.sqrt(np.maximum(expected * (1 - expected), 1e-9) / n)
             dep = (joint - expected > 6 * spread) & (joint > 3 * expected) & (np.minimum.outer(fires, fires) >= 20)
             np.fill_diagonal(dep, False)
-            share = 1 / (1 + dep.sum(1))
+            group = _groups(dep)
             pairs = tuple((int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(dep))))
-        odds = np.log(prior / (1 - prior)) + votes @ (weights * share) + (1 - votes) @ (quiet * share)
-        # labels of single texts are noisy: each counts as one more voter, right nine times in ten
+        odds = np.full(n, np.log(prior / (1 - prior)))
+        for g in np.unique(group):
+            mine = np.flatnonzero(group == g)
+            up = (votes[:, mine] * np.maximum(weights[mine], 0)).max(1)
+            down = (votes[:, mine] * np.minimum(weights[mine], 0)).min(1)
+            odds += up + down
+        none = np.clip(q[~some].mean() if (~some).any() else prior, 1e-3, 1 - 1e-3)
+        odds[~some] = np.log(none / (1 - none))
+        # the label of a single text may be wrong: it is one more voter, right nine times in ten
         odds += np.where(gold > 0.5, 1, -1) * np.log(9.0)
         q = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     accuracy = one * prior / np.maximum(one * prior + zero * (1 - prior), 1e-12)
-    return accuracy, np.log(one / zero) * share, pairs
+    return q, accuracy, np.log(one / zero), pairs
 
 
 def _features(votes: np.ndarray) -> np.ndarray:
@@ -132,9 +174,7 @@ def fit(words: tuple[str, ...], votes: np.ndarray, gold: np.ndarray, how: Superv
         w = np.concatenate([np.full(len(words), 3.0), np.full(len(PATTERNS), 1.0)])
         return ToxicityModel(words, w, np.concatenate([w, [0.0, 0.0]]), -3.0, 0.05, np.full(k, 0.5))
     prior = float(np.clip(gold.mean(), 0.005, 0.5))
-    accuracies, voter_weights, pairs = label_model(votes, prior, gold, how.rounds)
-    odds = np.log(prior / (1 - prior)) + votes @ voter_weights
-    posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    posterior, accuracies, voter_weights, pairs = label_model(votes, prior, gold, how.rounds)
     x1 = np.hstack([_features(votes), np.ones((len(votes), 1))])
     beta, ridge = np.zeros(x1.shape[1]), np.full(x1.shape[1], 0.05)
     ridge[-1] = 1e-6
@@ -193,12 +233,17 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, how: Supervision = Superv
 
     def digest(batches):
         for batch in batches:
-            found = [sorted(terms(x or "")) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, type=pa.list_(pa.string()))], names=["toxic", "terms"])
-
-    family = sample.mapInArrow(digest, "toxic int, terms array<string>").select("toxic", "terms", F.array_min(F.transform("terms", lambda w: F.xxhash64(w))).alias("family"))
-    sizes = {r.toxic: r.n for r in family.groupBy("toxic").agg(F.count_distinct("family").alias("n")).collect()}
-    pairs = family.select("toxic", "family", F.explode("terms").alias("word")).distinct().groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+            have = [terms(x or "") for x in batch.column("text").to_pylist()]
+            family = [min((zlib.crc32(w.encode()), w) for w in h)[1] if h else "" for h in have]
+            cols = [batch.column("toxic"), pa.array(family, type=pa.string()), pa.array([sorted(word_features(h)) for h in have], type=pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["toxic", "family", "words"])
+
+    family = sample.mapInArrow(digest, "toxic int, family string, words array<string>")
+    sizes = {r.toxic: (r.families, r.n) for r in family.groupBy("toxic").agg(F.count_distinct("family").alias("families"), F.count("*").alias("n")).collect()}
+    sizes = {1: sizes.get(1, (0, 0))[0], 0: sizes.get(0, (0, 0))[1]}
+    # clean texts are only counted, so (word, no family) combines on the map side
+    pairs = family.select("toxic", "family", F.explode("words").alias("word")).groupBy("word", F.when(F.col("toxic") == 1, F.col("family")).alias("family")).agg(F.sum(1 - F.col("toxic")).alias("b"))
+    pairs = pairs.groupBy("word").agg(F.count("family").alias("a"), F.sum("b").alias("b"))
     strong = pairs.filter(F.col("a") >= how.least_texts).withColumn("lift", (F.col("a") / max(1, sizes.get(1, 0))) / ((F.col("b") + 0.5) / max(1, sizes.get(0, 0))))
     strong = strong.filter(F.col("lift") >= how.least_lift).orderBy(F.desc(F.col("a") * F.log("lift")), "word").limit(10 * how.most_words)
     words = lexicon([(r.word, int(r.a), int(r.b)) for r in strong.collect()], sizes.get(1, 0), sizes.get(0, 0), how)
