@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.pii import op9_personal_data
 from llm.quality import op7_line_quality
+from llm.topk import ORACLE_OP6, op6_exact_top_k
 from llm.toxicity import op1_toxicity
+from llm.urls import op10_url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_line_quality": op7_line_quality,
     "op9_personal_data": op9_personal_data,
+    "op10_url_verdicts": op10_url_verdicts,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_top_k": ORACLE_OP6,
 }
-ORACLE_SQL: dict[str, str] = {}
