@@ -12,10 +12,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heliograph.shipping import ship
 from llm.words import blocks_of
 
 
+def _ready(spark: SparkSession) -> None:
+    ship(spark, "heliograph")
+    ship(spark, "llm")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,6 +47,7 @@ def cut(df: DataFrame) -> DataFrame:
     Unlike ``checkpoint()`` the rows are computed once, not once to count and once to write.
     """
     spark = df.sparkSession
+    _ready(spark)
     where = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)
@@ -56,6 +64,7 @@ def drop(spark: SparkSession, *tables: DataFrame) -> None:
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the identifier and the text, under fixed names; other columns can have any names."""
+    _ready(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
