@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.lm import op4_interpolated_lm
+from llm.packing import op2_best_fit_packing
 from llm.pii import op9_personal_data
 from llm.quality import op7_line_quality
 from llm.topk import ORACLE_OP6, op6_exact_top_k
@@ -15,6 +16,7 @@ from llm.urls import op10_url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_interpolated_lm": op4_interpolated_lm,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_quality": op7_line_quality,
