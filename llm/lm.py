@@ -29,11 +29,11 @@ _END = np.uint64(0x243F6A8885A308D3)
 class Interpolation:
     """Parameters of the model: an order of 2 mixes bigrams, unigrams and a uniform share."""
 
-    chunk_bytes: int = 12_000_000
+    chunk_bytes: int = 5_000_000
     held_out_every: int = 16  # one training text in so many gives the held-out counts for the mixture weights
     rounds: int = 25  # of expectation-maximisation
     steps: int = 4  # grid points an octave for the held-out probabilities that EM sees
-    slice_entries: int = 3_000_000  # n-grams a counting task takes
+    slice_entries: int = 1_000_000  # n-grams a counting task takes
 
 
 def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
