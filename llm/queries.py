@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.lm import op4_interpolated_lm
+from llm.neardup import op5_near_duplicates
 from llm.packing import op2_best_fit_packing
 from llm.pii import op9_personal_data
 from llm.quality import op7_line_quality
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_interpolated_lm": op4_interpolated_lm,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_quality": op7_line_quality,
     "op9_personal_data": op9_personal_data,
