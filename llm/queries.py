@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.lm import op4_interpolated_lm
+from llm.mixing import op8_source_mixture
 from llm.neardup import op5_near_duplicates
 from llm.packing import op2_best_fit_packing
 from llm.pii import op9_personal_data
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_quality": op7_line_quality,
+    "op8_source_mixture": op8_source_mixture,
     "op9_personal_data": op9_personal_data,
     "op10_url_verdicts": op10_url_verdicts,
 }
