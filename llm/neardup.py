@@ -176,5 +176,16 @@ def near_duplicates(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_co
     return out.select("doc_id", "n_shingles", F.col("of_class").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("of_class"), F.lit(True)).alias("kept"))
 
 
+def keep_one(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` but for near copies: of each component the row with the smallest identifier; all columns stay.
+
+    Rows that repeat that identifier all stay, as do those without words or identifier.
+    Texts are looked up by the identifiers that go: a broadcast up to
+    ``broadcast_rows`` of them, a shuffle beyond.
+    """
+    gone = cut(near_duplicates(df, how, id_col, text_col).filter("not kept").select("doc_id").distinct())
+    return df.join(_some(gone.withColumnRenamed("doc_id", "__gone"), how.broadcast_rows), F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDuplicates(shingle_words=2))

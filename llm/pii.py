@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.frames import cut, map_texts, table, texts
+from llm.words import blocks_of
 
 #: Kinds in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -127,6 +128,7 @@ class Bootstrap:
     least_confidence: float = 0.7
     least_length: int = 8  # of a string that a context can reveal
     least_digits: int = 4
+    most_contexts: int = 100_000  # trusted contexts that redaction sends along (some 4 MB)
 
 
 def scan(text: str, how: Bootstrap) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[int, int, str, str, bool]]]:
@@ -257,5 +259,44 @@ def redact(text: str | None, spans: str | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
+def redact_rows(df: DataFrame, how: Bootstrap = Bootstrap(), text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with personal data in ``text_col`` replaced; all columns and their order stay.
+
+    Contexts are learned over the whole table first.  They are short strings, few
+    because each needs several different seeds, and are sent along while they number at
+    most ``most_contexts``; more raise an error instead of being left out.  Null texts
+    stay null, and repeated rows repeat.  Texts never leave their partition.
+    """
+    seen = cut(_scanned(df.withColumn("doc_id", F.lit(0)) if "doc_id" not in df.columns else df, how, "doc_id", text_col).select("found").filter("size(found) > 0"))
+    each = seen.select(F.explode("found").alias("x")).select("x.*")
+    good = cut(trusted_contexts(each.select("context", "instance", "seed"), how).select("context"))
+    if good.count() > how.most_contexts:
+        raise ValueError(f"more than {how.most_contexts} trusted contexts: raise least_seeds or most_contexts")
+    contexts = frozenset(r.context for r in good.collect())
+    schema = df.schema
+
+    def of_block(block: pa.RecordBatch) -> pa.RecordBatch:
+        at = block.schema.get_field_index(text_col)
+        column = block.column(at)
+        marked = pc.match_substring_regex(column.fill_null(""), r"[0-9@]").to_pylist()
+        out = column.to_pylist()
+        for k, has in enumerate(marked):
+            if has:
+                base, found = scan(out[k], how)
+                spans = [x for kind in KINDS for x in joined(kind, base[kind])]
+                plain = {s for ss in base.values() for s in ss}
+                spans += [f"{SECRET}:{a}:{b}" for a, b, _, _, seed in found if seed and (a, b) not in plain]
+                spans += [f"{CONTEXT}:{a}:{b}" for a, b, _, c, seed in found if not seed and c in contexts]
+                out[k] = redact(out[k], ",".join(spans))
+        return block.set_column(at, block.schema.field(at), pa.array(out, type=column.type))
+
+    def each_batch(batches):
+        for batch in batches:
+            for block in blocks_of(batch, text_col):
+                yield of_block(block)
+
+    return df.mapInArrow(each_batch, schema)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))

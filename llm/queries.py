@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.licenses import op3_license_scan
 from llm.lm import op4_interpolated_lm
 from llm.mixing import op8_source_mixture
 from llm.neardup import op5_near_duplicates
@@ -19,6 +20,7 @@ from llm.urls import op10_url_verdicts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_license_scan": op3_license_scan,
     "op4_interpolated_lm": op4_interpolated_lm,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_exact_top_k": op6_exact_top_k,

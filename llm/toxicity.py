@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.frames import map_texts, table, texts
+from llm.words import blocks_of
 
 _TERM = re.compile(r"[^\W\d_]{2,40}")
 #: Words from which the lexicon starts; labelled texts add to them.
@@ -215,6 +216,17 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, threshold: float = 0.3,
     return map_texts(texts(df, id_col, text_col), of_block, "doc_id long, score double, predicted int")
 
 
+def keep_clean(df: DataFrame, model: ToxicityModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text scores below the threshold; all columns stay, and rows don't leave their partition."""
+
+    def each(batches):
+        for batch in batches:
+            for block in blocks_of(batch, text_col):
+                yield block.filter(pa.array(score_texts(model, block.column(text_col)) < threshold))
+
+    return df.mapInArrow(each, df.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows no label may be learned from: crc32 of the identifier as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
