@@ -4,9 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from heliograph.plans import activity, digest, text
+from heliograph.shipping import ship
+
+
+def _shipped(run):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark, "heliograph")
+        return run(spark, sf_dir)
+
+    return query
+
+
+_ALL = activity.ALL | digest.ALL | text.ALL
+QUERIES = {name: _shipped(run) for name, (run, _) in _ALL.items()}
+ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return QUERIES["topic_momentum_7d"](spark, sf_dir)
