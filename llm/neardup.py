@@ -10,9 +10,9 @@ Links are found in passes, each exact where it confirms and none capping anythin
 * Texts with equal shingle sets are one class; one stands for all.
 * In each bucket every member is compared with the bucket's smallest member.  In a large
   group of near copies that is a few comparisons a member, not all pairs.
-* What shares a bucket but not yet a component is compared in full, except texts that
-  provably have no link: those of whose shingles more than a fifth occur in no other text
-  under comparison.
+* Where a bucket still holds several components, its members are compared in full, but
+  for those that provably have no link to another component, because too few of their
+  shingles occur there.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ class NearDuplicates:
     percent: int = 80  # links have 100 * intersection >= percent * union
     half: int = 12  # short keys in each of the two collections
     width: int = 3  # minhashes in a short key
+    block_rows: int = 512  # texts that are compared in full with as many others at a time
     broadcast_rows: int = 1_000_000  # identifiers up to this number are broadcast (8 MB), else joined by a shuffle
 
 
@@ -119,6 +120,96 @@ def _some(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """Rows of those keys whose members are of several components."""
+    keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    return members.join(keys, "key")
+
+
+def undecided(shared: DataFrame, links: DataFrame, sets: DataFrame, how: NearDuplicates) -> DataFrame:
+    """key, node, n, component, shared: members of buckets with several components that may yet link across them.
+
+    ``shared`` counts a text's shingles that texts of other components have.  A link
+    across has at least percent / (100 + percent) of both sizes' sum in common, and that
+    much must be shared; the other size is at least the smallest in the bucket.  Both
+    bounds are exact: what they leave out has no link to another component.
+    """
+    found = components(links)
+    placed = shared.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    placed = cut(_mixed(placed))
+    nodes = placed.select("node", "component").distinct()
+    grams = sets.join(nodes, F.col("doc_id") == F.col("node")).select("node", "component", F.explode("grams").alias("gram"))
+    across = grams.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
+    counts = cut(grams.join(across, "gram").groupBy("node").agg(F.count("*").alias("shared")))
+    members = placed.join(counts, "node")
+    for _ in range(2):
+        least = members.groupBy("key").agg(F.min("n").alias("least"))
+        other = F.greatest(F.col("least"), F.ceil(F.col("n") * how.percent / 100.0 - 1e-9))
+        members = _mixed(members.join(least, "key").filter((100 + how.percent) * F.col("shared") >= how.percent * (F.col("n") + other)).drop("least"))
+    return cut(members)
+
+
+def block_links(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> DataFrame:
+    """a, b: for each two components a link between them, if there is one; ``members`` as from ``undecided``.
+
+    Texts that share buckets, by whatever chain, are a family, dealt into blocks of
+    about ``block_rows``.  Each two blocks of a family meet in one task, which counts
+    shared shingles by products of 0/1 matrices, a stretch of shingles at a time; only
+    links go on.  So no pair of texts is a row, and a task holds two blocks whatever the
+    family's size.
+    """
+    first = members.groupBy("key").agg(F.min("node").alias("first"))
+    chains = members.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    nodes = cut(_families(members, chains))
+    sizes = nodes.groupBy("family").agg(F.ceil(F.count("*") / how.block_rows).alias("blocks"))
+    dealt = nodes.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.select("family", "node", "part_of", "block", other.alias("o"))
+    dealt = dealt.select("family", "node", "part_of", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
+    rows = dealt.join(sets, F.col("node") == F.col("doc_id")).select("family", "i", "j", "block", "node", "part_of", "grams")
+    percent, stretch = how.percent, 4096
+
+    def compare(t: pa.Table) -> pa.Table:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        node, comp = t.column("node").to_numpy(), t.column("part_of").to_numpy()
+        if len(np.unique(comp)) < 2:
+            return schema.empty_table()
+        order = np.argsort(node, kind="stable")
+        node, comp, block = node[order], comp[order], t.column("block").to_numpy()[order]
+        grams = t.column("grams").combine_chunks().take(pa.array(order))
+        sizes = np.diff(grams.offsets.to_numpy())
+        row = np.repeat(np.arange(len(node)), sizes)
+        flat = grams.flatten().to_numpy()
+        u, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
+        often = counts[inverse] > 1
+        row, column = row[often], inverse[often]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        number = np.cumsum(np.concatenate([[0], np.diff(column) != 0])) if len(column) else column
+        both = np.zeros((len(node), len(node)), dtype=np.float32)
+        for low in range(0, int(number[-1]) + 1 if len(number) else 0, stretch):
+            at = slice(*np.searchsorted(number, [low, low + stretch]))
+            m = np.zeros((len(node), stretch), dtype=np.float32)
+            m[row[at], number[at] - low] = 1
+            both += m @ m.T  # counts below 2**24 are exact
+        total = sizes[:, None] + sizes[None, :] - both
+        close = (100.0 * both >= percent * total) & (comp[:, None] < comp[None, :])
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        if i != j:
+            close &= block[:, None] != block[None, :]
+        a, b = np.nonzero(close)
+        _, one = np.unique(np.stack([comp[a], comp[b]]), axis=1, return_index=True) if len(a) else (None, np.zeros(0, dtype=np.int64))
+        return pa.table([pa.array(node[a[one]]), pa.array(node[b[one]])], schema=schema)
+
+    return rows.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _families(members: DataFrame, chains: DataFrame) -> DataFrame:
+    """node, part_of (its component so far), family."""
+    nodes = members.select("node", F.col("component").alias("part_of")).distinct()
+    return nodes.join(components(chains).withColumnRenamed("component", "family"), "node", "left").select("node", "part_of", F.coalesce("family", "node").alias("family"))
+
+
 def near_duplicates(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``df``.
 
@@ -150,22 +241,9 @@ def near_duplicates(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_co
     sets = cut(_sets(docs.join(_some(wanted, how.broadcast_rows), "doc_id", "left_semi"), how).dropDuplicates(["doc_id"]))
     links = cut(confirmed(near, sets, how))
 
-    # members of buckets that still hold several components
-    first = cut(components(links))
-    placed = shared.join(first, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    placed = cut(placed.join(mixed, "key"))
-    open_nodes = placed.select("node").distinct()
-    # a text with more than a fifth of its shingles in no other of these texts can't be similar enough to any
-    grams = sets.join(open_nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select("doc_id", F.explode("grams").alias("gram"))
-    single = grams.groupBy("gram").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-    able = placed.join(single.withColumnRenamed("doc_id", "node"), "node", "left").filter(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= how.percent * F.col("n")).select("key", "node", "n", "component")
-    again = able.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    able = cut(able.join(again, "key"))
-    a = able.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    b = able.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = a.join(b, "key").filter("ca < cb").filter(_fits(how)).select("a", "b").distinct()
-    links = links.unionByName(confirmed(cut(rest), sets, how))
+    # buckets that may still hide a link between components are compared in full, blocks of texts at a time
+    members = undecided(shared, links, sets, how)
+    links = links.unionByName(cut(block_links(members, sets, how)))
 
     # equal sets: every row links with its class
     groups = components(links)
