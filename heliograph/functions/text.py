@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Characters whose full case folding has letters a-z that lower-casing doesn't give.
 _FOLDS = (
-    ("ß", "ss"), ("ẞ", "ss"), ("ŉ", "ʼn"), ("ſ", "s"), ("ǰ", "ǰ"), ("ẖ", "ẖ"), ("ẗ", "ẗ"), ("ẘ", "ẘ"), ("ẙ", "ẙ"), ("ẚ", "aʾ"),
-    ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"),
+    ("ß", "ss"), ("ẞ", "ss"), ("\u0149", "\u02bcn"), ("ſ", "s"), ("\u01f0", "j\u030c"), ("\u1e96", "h\u0331"), ("\u1e97", "t\u0308"), ("\u1e98", "w\u030a"), ("\u1e99", "y\u030a"), ("\u1e9a", "a\u02be"),
+    ("\ufb00", "ff"), ("\ufb01", "fi"), ("\ufb02", "fl"), ("\ufb03", "ffi"), ("\ufb04", "ffl"), ("\ufb05", "st"), ("\ufb06", "st"),
 )
 
 
