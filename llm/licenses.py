@@ -87,7 +87,7 @@ def scan(text: str, templates: Templates, how: LicenseScan) -> list[tuple[str, f
         tried = [(a, b)]
         hit = templates.best(Counter(zip(words[a : b - 1], words[a + 1 : b])), how.threshold)
         if hit is None:
-            tried = [(a + x, a + y) for x, y in stretches(words[a:b], templates, 1)]
+            tried = [(a + x, a + y) for x, y in stretches(words[a:b], templates, 0)]
         for x, y in tried:
             hit = templates.best(Counter(zip(words[x : y - 1], words[x + 1 : y])), how.threshold)
             if hit:

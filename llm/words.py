@@ -148,7 +148,7 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     doc = words.document_of_word()
     left = first[1:][doc] - np.arange(n)  # words from here to the end of the text
     out = h.copy()
-    for k in range(1, size):
+    for k in range(1, min(size, n)):
         out[: n - k] = np.where(left[: n - k] > k, combine(out[: n - k], h[k:]), out[: n - k])
     short = counts[doc] < size
     keep = np.where(short, left == counts[doc], left >= size)
