@@ -19,6 +19,9 @@ from llm.words import blocks_of
 def _ready(spark: SparkSession) -> None:
     ship(spark, "heliograph")
     ship(spark, "llm")
+    # a batch of the default 10,000 long texts takes a worker some 200 MB, twice over while it is received
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -228,15 +228,18 @@ def near_duplicates(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_co
     2 * (1 - 0.8 ** width) ** half: 4 in 10,000 with the values given.
     """
     docs = texts(df, id_col, text_col)
-    signed = cut(signatures(docs, how))
+    signed = cut(signatures(docs, how).withColumn("row", F.monotonically_increasing_id()))
     real = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = cut(real.groupBy("f1", "f2", "n_shingles").agg(F.min(F.struct("doc_id", "keys")).alias("x")).select("f1", "f2", "n_shingles", F.col("x.doc_id").alias("node"), F.col("x.keys").alias("keys")))
+    # minima of numbers only: they aggregate by hashing, where those of structs would sort every row
+    first = real.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("row").alias("row"))
+    classes = cut(first.join(signed.select("row", "keys"), "row").select("f1", "f2", "n_shingles", "node", "keys"))
     keys = table_keys(classes.select("node", F.col("n_shingles").alias("n"), "keys"), how)
-    hubs = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("members")).filter("members > 1").select("key", "hub.node", "hub.n")
-    shared = cut(keys.join(hubs.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n")), "key"))
+    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1").select("key", "hub")
+    shared = cut(keys.join(hubs, "key"))
 
-    near = shared.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hub_n").alias("nb")).filter(_fits(how)).select("a", "b").distinct()
-    near = cut(near)
+    sizes = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"))
+    near = shared.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na")).distinct()
+    near = cut(near.join(sizes, "b").filter(_fits(how)).select("a", "b"))
     wanted = shared.select(F.col("node").alias("doc_id")).distinct()
     sets = cut(_sets(docs.join(_some(wanted, how.broadcast_rows), "doc_id", "left_semi"), how).dropDuplicates(["doc_id"]))
     links = cut(confirmed(near, sets, how))

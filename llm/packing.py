@@ -36,7 +36,7 @@ class Packing:
     window: int = 4096
     large: int = 512  # lengths above take part in the configurations
     groups: int = 48  # sizes left by linear grouping
-    rank_rows: int = 20_000  # pieces of a length that one ranking group takes, about
+    rank_rows: int = 2_000  # pieces of a length that one ranking group takes, about
     vocabulary: str = "word_bpe_49k.json"
     end: int = 1  # the identifier after each text
     vocabulary_path: str | None = None
@@ -244,7 +244,7 @@ class CachedTokenizer:
     identifiers, up to ``most`` words; then it starts anew.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
