@@ -143,7 +143,8 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
             p = q.mean()
             expected = p * np.outer(one, one) + (1 - p) * np.outer(zero, zero)
             spread = np.sqrt(np.maximum(expected * (1 - expected), 1e-9) / n)
-            dep = (joint - expected > 6 * spread) & (joint > 3 * expected) & (np.minimum.outer(fires, fires) >= 20)
+            more = joint - expected
+            dep = (more > 6 * spread) & (more > 0.3 * (np.minimum.outer(fires, fires) / n - expected)) & (np.minimum.outer(fires, fires) >= 20)
             np.fill_diagonal(dep, False)
             group = _groups(dep)
             pairs = tuple((int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(dep))))
