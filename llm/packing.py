@@ -161,14 +161,22 @@ def _best_fit(counts: np.ndarray, window: int, runs: dict[int, list[list]]) -> l
 def plan(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
     """Runs of windows for so many pieces of each length (``counts`` by length).
 
-    The configurations' plan is compared with best fit alone, which is the same scheme
-    without large lengths, and the one with fewer windows is taken.
+    The configurations' plan is taken.  Only where best fit alone, the same scheme
+    without large lengths, needs strictly fewer windows does it stand in.
     """
+    made, plain = configured(counts, how), best_fit(counts, how)
+    return made if sum(n for n, _ in made) <= sum(n for n, _ in plain) else plain
+
+
+def best_fit(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
+    """The plan of best fit alone."""
+    return _best_fit(counts.astype(np.int64), how.window, defaultdict(list))
+
+
+def configured(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
+    """The plan of linear grouping, configurations and substitution; small pieces and what is left by best fit."""
     counts = counts.astype(np.int64).copy()
-    plain = _best_fit(counts, how.window, defaultdict(list))
     grouped = linear_groups(counts, how.large, how.groups)
-    if not grouped:
-        return plain
     sizes = np.array([g[0] for g in grouped])
     demand = np.array([int(counts[g].sum()) for g in grouped])
     left = counts.copy()
@@ -210,8 +218,7 @@ def plan(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[i
                     queues[k].pop(0)
             runs[how.window - sum(lengths)].append([n, lengths])
             number -= n
-    made = _best_fit(left, how.window, runs)
-    return made if sum(n for n, _ in made) < sum(n for n, _ in plain) else plain
+    return _best_fit(left, how.window, runs)
 
 
 def places(runs: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray, ...]]:
