@@ -1,4 +1,4 @@
-"""Licence scans: stretches of normalised text against licence templates, by Dice coefficient over word bigrams."""
+"""Licence scans: windows of normalised text against licence templates, by Dice coefficient over word bigrams."""
 
 from __future__ import annotations
 
@@ -19,7 +19,6 @@ _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 @dataclass(frozen=True)
 class LicenseScan:
     threshold: float = 0.9  # least Dice coefficient
-    gap: int = 6  # words between bigrams of templates that one stretch may skip
 
 
 def normalised(text: str) -> list[str]:
@@ -62,37 +61,63 @@ class Templates:
         return min(hits, key=lambda h: (-h[0], h[1])) if hits else None
 
 
-def stretches(words: list[str], templates: Templates, gap: int) -> list[tuple[int, int]]:
-    """Word ranges, end exclusive, whose bigrams templates have, but for gaps of up to ``gap`` words."""
-    leads, known = templates.leads, templates.known
-    at = [k for k in range(len(words) - 1) if words[k] in leads and (words[k], words[k + 1]) in known]
-    out: list[list[int]] = []
-    for k in at:
-        if out and k - out[-1][1] <= gap:
-            out[-1][1] = k + 1
-        else:
-            out.append([k, k + 1])
-    return [(a, b + 1) for a, b in out]
+def windows(at: list[int], grams: list[tuple[str, str]], template: Counter, threshold: float) -> list[tuple[int, int, float, int]]:
+    """Windows that reach the threshold for one template: first and last bigram, the coefficient, and bigrams shared over those not.
+
+    ``at``, ``grams``: places of bigrams that any template has, and the bigrams.  The
+    best window begins and ends at bigrams of the template, so only those are tried,
+    and of each first one the best last one is kept.  A window at the threshold shares
+    t / (2 - t) of the template's size at least and is (2 - t) / t of it long at most.
+    """
+    mine = [(k, g) for k, g in zip(at, grams) if g in template]
+    n = template.total()
+    need, most = n * threshold / (2 - threshold) - 1e-9, n * (2 - threshold) / threshold + 1e-9
+    if len(mine) < need:
+        return []
+    out, end = [], 0
+    for i, (first, _) in enumerate(mine):
+        while end < len(mine) and mine[end][0] - first + 1 <= most:
+            end += 1
+        if end - i < need:
+            continue
+        used: Counter = Counter()
+        shared, best = 0, None
+        for last, g in mine[i:end]:
+            used[g] += 1
+            if used[g] <= template[g]:
+                shared += 1
+                score = 2 * shared / (last - first + 1 + n)
+                if score >= threshold and (best is None or score > best[2]):
+                    best = (first, last, score, 3 * shared - (last - first + 1) - n)
+        if best:
+            out.append(best)
+    return out
 
 
 def scan(text: str, templates: Templates, how: LicenseScan) -> list[tuple[str, float]]:
     """Licences in a text and their coefficients, in order of place.
 
-    A stretch that matches nothing is tried again in the pieces that lie between its
-    gaps, so two notices side by side are both found.
+    Each template is looked for in all windows of the text.  Of windows that overlap
+    the one that shares most beyond what either side has alone is kept, so notices
+    that stand side by side are all found, edited or not, and a long notice wins over a
+    short one it begins with.
     """
     words = normalised(text)
-    out: list[tuple[str, float]] = []
-    for a, b in stretches(words, templates, how.gap):
-        tried = [(a, b)]
-        hit = templates.best(Counter(zip(words[a : b - 1], words[a + 1 : b])), how.threshold)
-        if hit is None:
-            tried = [(a + x, a + y) for x, y in stretches(words[a:b], templates, 0)]
-        for x, y in tried:
-            hit = templates.best(Counter(zip(words[x : y - 1], words[x + 1 : y])), how.threshold)
-            if hit:
-                out.append((hit[1], hit[0]))
-    return out
+    leads, known = templates.leads, templates.known
+    at = [k for k in range(len(words) - 1) if words[k] in leads and (words[k], words[k + 1]) in known]
+    grams = [(words[k], words[k + 1]) for k in at]
+    have = set(grams)
+    found = []
+    for name, template in zip(templates.names, templates.bigrams) if have else ():
+        if sum(c for g, c in template.items() if g in have) * (2 - how.threshold) >= how.threshold * template.total() - 1e-9:
+            found += [(-gain, -score, name, a, b) for a, b, score, gain in windows(at, grams, template, how.threshold)]
+    kept: list[tuple[int, int, str, float]] = []
+    taken = bytearray(len(words))
+    for _, score, name, a, b in sorted(found):
+        if not any(taken[a : b + 2]):
+            taken[a : b + 2] = b"\x01" * (b + 2 - a)
+            kept.append((a, b, name, -score))
+    return [(name, score) for _, _, name, score in sorted(kept)]
 
 
 _HINT = re.compile(r"licen[sc]|permission|redistribut|copyright|as.is|public domain|free software|waived", re.I)
