@@ -120,6 +120,7 @@ def scan(text: str, templates: Templates, how: LicenseScan) -> list[tuple[str, f
     return [(name, score) for _, _, name, score in sorted(kept)]
 
 
+#: What templates have some of; no filter, as a text may break or edit these.
 _HINT = re.compile(r"licen[sc]|permission|redistribut|copyright|as.is|public domain|free software|waived", re.I)
 
 
@@ -130,15 +131,14 @@ def license_scan(df: DataFrame, how: LicenseScan = LicenseScan(), id_col: str =
     without any, or null, has 0 matches, an empty list, a null licence and a
     coefficient of 0.  Repeated rows and null identifiers stay.  An empty table gives
     an empty table.  Only the two named columns are read; rows never leave their
-    partition.  Texts with none of the words all templates have some of are passed by.
+    partition.  Every text is scanned.
     """
     made = Templates(templates)
-    every = all(_HINT.search(t) for _, t in templates)
 
     def of_block(block: pa.RecordBatch) -> pa.RecordBatch:
         n, names, best, score = [], [], [], []
         for text in block.column("text").to_pylist():
-            found = scan(text, made, how) if text and (not every or _HINT.search(text)) else []
+            found = scan(text, made, how) if text else []
             n.append(len(found))
             names.append(",".join(sorted({x for x, _ in found})))
             top = min(found, key=lambda x: (-x[1], x[0]), default=(None, 0.0))
