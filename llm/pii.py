@@ -204,24 +204,24 @@ def _scanned(df: DataFrame, how: Bootstrap, id_col: str, text_col: str) -> DataF
 def trusted_contexts(edges: DataFrame, how: Bootstrap = Bootstrap()) -> DataFrame:
     """Contexts whose strings are believed.  ``edges``: context, instance, seed; one row for each sighting or pair.
 
-    Contexts with fewer than ``least_seeds`` different seeds are dropped first, by a
-    count that combines on the map side, so one frequent context is no hot group.
-    Round by round, a context's confidence is the mean belief in its strings, smoothed
-    by two disbelieved ones; a string that is no seed is believed as far as any of its
-    contexts does.
+    All contexts stay in the graph.  Round by round, a context with at least
+    ``least_seeds`` different believed strings, seeds or revealed ones, has as its
+    confidence the mean belief in its strings, smoothed by two disbelieved ones; a
+    string that is no seed is believed as far as its contexts of enough confidence say,
+    and so can support further contexts.  Counts combine on the map side, so one
+    frequent context is no hot group.
     """
-    pairs = edges.filter("context <> ''").groupBy("context", "instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
-    support = pairs.groupBy("context").agg(F.sum("belief").alias("seeds")).filter(F.col("seeds") >= how.least_seeds)
-    pairs = cut(pairs.join(support.select("context"), "context"))
+    pairs = cut(edges.filter("context <> ''").groupBy("context", "instance").agg(F.max(F.col("seed").cast("double")).alias("belief")))
     believed = pairs.filter("belief = 0")
     contexts = None
     for _ in range(how.rounds):
         rows = pairs.select("context", "instance", "belief")
         if contexts is not None:
-            better = believed.join(contexts.select("context", "confidence"), "context").groupBy("instance").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("raised"))
+            better = believed.join(contexts, "context").groupBy("instance").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("raised"))
             rows = rows.join(better, "instance", "left").select("context", F.greatest("belief", F.coalesce("raised", F.lit(0.0))).alias("belief"))
-        contexts = rows.groupBy("context").agg((F.sum("belief") / (F.count("*") + 2)).alias("confidence"))
-    return contexts.filter(F.col("confidence") >= how.least_confidence)
+        scored = rows.groupBy("context").agg((F.sum("belief") / (F.count("*") + 2)).alias("confidence"), F.count_if(F.col("belief") >= how.least_confidence).alias("support"))
+        contexts = cut(scored.filter((F.col("support") >= how.least_seeds) & (F.col("confidence") >= how.least_confidence)).select("context", "confidence"))
+    return contexts
 
 
 def personal_data(df: DataFrame, how: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
