@@ -95,7 +95,7 @@ def copies(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
     parts = cut(docs.groupBy("source", "block", "part").agg(F.sum("tokens").alias("tokens")))
     mixed = weights(parts.groupBy("source").agg(F.sum("tokens").alias("tokens")), how)
     mixed = mixed.withColumn("passes", F.floor(F.col("budget") / F.col("tokens"))).withColumn("rest", F.col("budget") - F.col("passes") * F.col("tokens")).select("source", "passes", "rest")
-    blocks = parts.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")).join(mixed, "source")
+    blocks = parts.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")).join(mixed, "source", "left").fillna({"passes": 1, "rest": -1})  # a source without words has no budget: one pass and no rest, not even of 0 tokens
     order = lambda *by: F.xxhash64(F.lit(how.seed), "source", "passes", *by)
     upto = Window.partitionBy("source").orderBy(order("block"), "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     blocks = blocks.withColumn("upto", F.sum("tokens").over(upto)).withColumn("room", F.col("rest") - (F.col("upto") - F.col("tokens")))
@@ -118,7 +118,7 @@ def mix_sources(df: DataFrame, how: Mixture = Mixture(), id_col: str = "doc_id",
     """doc_id, source, tokens, copies: one row for each row of ``df``.
 
     Tokens are words of the whole text.  Null texts have none and are taken once for each
-    whole pass, as they cost nothing.  Null sources are one source, written as empty.  Rows with null
+    whole pass, as they cost nothing; a source without words is taken once.  Null sources are one source, written as empty.  Rows with null
     identifiers and repeated rows are dealt like others, repeats into the same block.
     A table without words gets no budget: every row has one copy.  An empty table gives
     an empty table.  Only the three named columns are read.
