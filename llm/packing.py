@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.frames import cut, map_texts, table, texts
-from llm.words import words_of
+from llm.wordpieces import WordPieces
 
 
 @dataclass(frozen=True)
 class Packing:
     window: int = 4096
-    large: int = 512  # lengths above take part in the configurations
+    large: int = 1365  # lengths above take part in the configurations: of these a window holds two at most, and small ones fill it up
     groups: int = 48  # sizes left by linear grouping
+    most_columns: int = 10_000  # configurations priced; the plan is whole, if less tight, wherever pricing ends
     rank_rows: int = 2_000  # pieces of a length that one ranking group takes, about
     vocabulary: str = "word_bpe_49k.json"
     end: int = 1  # the identifier after each text
@@ -83,7 +84,7 @@ def _best_column(sizes: np.ndarray, values: np.ndarray, window: int) -> tuple[np
     return out, value
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, window: int, most: int = 400) -> list[tuple[np.ndarray, int]]:
+def configurations(sizes: np.ndarray, demand: np.ndarray, window: int, most: int = 10_000) -> list[tuple[np.ndarray, int]]:
     """Ways of filling windows with rounded sizes and how many windows of each, by column generation; whole parts only."""
     k = len(sizes)
     columns = np.diag(window // sizes).astype(float)
@@ -158,23 +159,17 @@ def _best_fit(counts: np.ndarray, window: int, runs: dict[int, list[list]]) -> l
     return [(n, lengths) for room in sorted(runs) for n, lengths in runs[room]]
 
 
-def plan(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
-    """Runs of windows for so many pieces of each length (``counts`` by length).
-
-    The configurations' plan is taken.  Only where best fit alone, the same scheme
-    without large lengths, needs strictly fewer windows does it stand in.
-    """
-    made, plain = configured(counts, how), best_fit(counts, how)
-    return made if sum(n for n, _ in made) <= sum(n for n, _ in plain) else plain
-
-
 def best_fit(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
-    """The plan of best fit alone."""
+    """The plan of best fit alone, for comparison."""
     return _best_fit(counts.astype(np.int64), how.window, defaultdict(list))
 
 
-def configured(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
-    """The plan of linear grouping, configurations and substitution; small pieces and what is left by best fit."""
+def plan(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
+    """Runs of windows for so many pieces of each length (``counts`` by length).
+
+    Linear grouping, configurations and substitution; small pieces, and large ones that
+    the configurations' whole parts leave over, go by best fit.
+    """
     counts = counts.astype(np.int64).copy()
     grouped = linear_groups(counts, how.large, how.groups)
     sizes = np.array([g[0] for g in grouped])
@@ -182,7 +177,7 @@ def configured(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int,
     left = counts.copy()
     queues = [[[x, int(counts[x])] for x in g] for g in grouped]  # longest first
     runs: dict[int, list[list]] = defaultdict(list)
-    for column, number in configurations(sizes, demand, how.window):
+    for column, number in configurations(sizes, demand, how.window, how.most_columns):
         # actual pieces take the slots in order; a stretch of windows with equal lengths is one run
         while number:
             taken: list[list[int]] = []
@@ -242,55 +237,12 @@ def places(runs: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray, ...
 # --- tokens ---------------------------------------------------------------------------
 
 
-class CachedTokenizer:
-    """The tokenizer's identifiers of whole texts, word by word.
+_made: dict[str, WordPieces] = {}
 
-    The vocabulary's splitting pattern, normalisation and added tokens never reach
-    across the six ASCII white-space characters, and drop them, so a text's identifiers
-    are those of its words in turn.  Each worker encodes a word once and keeps its
-    identifiers, up to ``most`` words; then it starts anew.
-    """
 
-    def __init__(self, path: str, most: int = 300_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.start = np.zeros(0, dtype=np.int64)
-        self.count = np.zeros(0, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=np.uint32)
-
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' identifiers in turn, and offsets by text."""
-        w = words_of(column, fold=False)
-        unique, first, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > self.most:
-            self.known, self.start, self.count, self.flat = self.known[:0], self.start[:0], self.count[:0], self.flat[:0]
-        at = np.searchsorted(self.known, unique)
-        have = at < len(self.known)
-        have[have] = self.known[at[have]] == unique[have]
-        new = np.flatnonzero(~have)
-        if len(new):
-            raw = w.data.tobytes()
-            s, e = w.starts[first[new]].tolist(), w.ends[first[new]].tolist()
-            found = [x.ids for x in self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in zip(s, e)], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            begin = len(self.flat) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for f in found for i in f), dtype=np.uint32, count=int(lengths.sum()))])
-            self.known, self.start, self.count = (np.insert(a, at[new], b) for a, b in ((self.known, unique[new]), (self.start, begin), (self.count, lengths)))
-            at = np.searchsorted(self.known, unique)
-        lengths = self.count[at][inverse]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        pick = np.repeat(self.start[at][inverse] - total[:-1], lengths) + np.arange(total[-1])
-        return self.flat[pick], total[w.first]
-
-
-_made: dict[str, CachedTokenizer] = {}
-
-
-def _tokenizer(path: str) -> CachedTokenizer:
+def _tokenizer(path: str) -> WordPieces:
     if path not in _made:
-        _made[path] = CachedTokenizer(path)
+        _made[path] = WordPieces(path)
     return _made[path]
 
 
