@@ -16,12 +16,17 @@ from heliograph.shipping import ship
 from llm.words import blocks_of
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Sessions that allow Arrow batches of more bytes are held to so many, which bounds a Python worker's memory; lower settings stay.
+MOST_BATCH_BYTES = 8 << 20
+
+
 def _ready(spark: SparkSession) -> None:
     ship(spark, "heliograph")
     ship(spark, "llm")
-    # a batch of the default 10,000 long texts takes a worker some 200 MB, twice over while it is received
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    # Arrow batches by bytes: a batch of the default 10,000 rows takes a worker some 200 MB if texts are long
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_BYTES)) > MOST_BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(MOST_BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +38,15 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the session names in spark.checkpoint.dir; one of our own only where none is set, as in tests."""
+    """The shared folder the session names in spark.checkpoint.dir.
+
+    Where none is set, as in tests, a folder of this machine will do if all tasks run on
+    it; on a cluster that is an error, as executors don't share such a folder.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if where is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="shared-")

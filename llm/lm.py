@@ -1,26 +1,31 @@
 """Language-model scores by deleted interpolation of word n-grams.
 
-Counting and looking up never build a table of the vocabulary anywhere.  Texts are dealt
-into chunks by a hash of the document, each of a bounded number of bytes.  A chunk asks
-for each n-gram it has once, whatever its frequency: it sends the sorted numbers of its
-distinct n-grams with their counts, as bytes.  Counting tasks each own a slice of the
-number space; they add up the chunks' counts and answer each chunk with the totals in the
-order in which it asked.  So what is shuffled is one number and one small count an n-gram
-and chunk, frequent n-grams are combined before the shuffle, and no key is hot.
+Counting and looking up never build a table of the vocabulary anywhere.  Each task packs
+the texts it reads into chunks, rows of a bounded number of bytes, and these are written
+once.  A chunk asks for each n-gram it has once, whatever its frequency: it sends the
+sorted numbers of its distinct n-grams with their counts, as bytes.  Counting tasks each
+own a slice of the number space; they add up the chunks' counts and answer each chunk with
+the totals in the order in which it asked.  So what is shuffled is one number and one small
+count an n-gram and chunk, frequent n-grams are combined before the shuffle, and no key is
+hot.  A chunk sends at most ``most_slices`` rows a level, so rows grow with the input and
+not with its square; slices that outgrow a task's memory are counted part by part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import tempfile
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.frames import cut, table, texts
-from llm.words import combine, mix64, words_of
+from llm.words import blocks_of, combine, mix64, word_numbers
 
 _END = np.uint64(0x243F6A8885A308D3)
 
@@ -29,11 +34,12 @@ _END = np.uint64(0x243F6A8885A308D3)
 class Interpolation:
     """Parameters of the model: an order of 2 mixes bigrams, unigrams and a uniform share."""
 
-    chunk_bytes: int = 5_000_000
+    chunk_bytes: int = 4_000_000
     held_out_every: int = 16  # one training text in so many gives the held-out counts for the mixture weights
     rounds: int = 25  # of expectation-maximisation
     steps: int = 4  # grid points an octave for the held-out probabilities that EM sees
-    slice_entries: int = 1_000_000  # n-grams a counting task takes
+    slice_bytes: int = 16_000_000  # of text a slice stands for; about 2,000,000 n-grams that a counting task holds at once
+    most_slices: int = 1_024  # rows a chunk sends at most; beyond, a counting task takes several slices, one after another
 
 
 def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,35 +47,42 @@ def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A text's first bigram has the end of a text as its context.
     """
-    w = words_of(column)
-    n = len(w.first) - 1
-    uni = np.insert(w.hashes, w.first[1:], _END)
-    first = w.first + np.arange(n + 1)
+    numbers, first = word_numbers(column)
+    n = len(first) - 1
+    uni = np.insert(numbers, first[1:], _END)
+    first = first + np.arange(n + 1)
     before = np.empty_like(uni)
     before[1:] = uni[:-1]
     before[first[:-1]] = _END
     return uni, combine(before, uni), first
 
 
-def _pack(numbers: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each number."""
-    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+def pack_sorted(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as differences, each of as many bytes as the largest takes."""
+    if not len(numbers):
+        return b""
+    steps = np.diff(numbers, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def _unpack(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return out.reshape(-1).view("<u8")
+def unpack_sorted(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    width = data[0]
+    out = np.zeros(((len(data) - 1) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(out.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
-def _counts_bytes(counts: np.ndarray) -> bytes:
+def counts_bytes(counts: np.ndarray) -> bytes:
     """Small counts take a byte each; larger ones are listed behind, by place."""
     small = np.minimum(counts, 255).astype(np.uint8)
     big = np.flatnonzero(counts >= 255)
     return len(counts).to_bytes(8, "little") + small.tobytes() + big.astype("<u8").tobytes() + counts[big].astype("<u8").tobytes()
 
 
-def _counts_of(data: bytes) -> np.ndarray:
+def counts_of(data: bytes) -> np.ndarray:
     n = int.from_bytes(data[:8], "little")
     out = np.frombuffer(data, np.uint8, n, 8).astype(np.int64)
     rest = np.frombuffer(data[8 + n :], "<u8")
@@ -77,14 +90,18 @@ def _counts_of(data: bytes) -> np.ndarray:
     return out
 
 
-#: Bytes of a number that are sent: the slice a number belongs to holds its highest bits.
-_WIDTHS = {1: 8, 2: 6}
+#: Bits of a number that are sent besides its slice, which holds its highest ones.
+_BITS = {1: 64, 2: 48}
 
 
-def _slices(numbers: np.ndarray, n: int) -> np.ndarray:
-    """Bounds of n equal slices of the number space in a sorted array."""
-    edges = (np.arange(n + 1, dtype=object) * (1 << 64) // n)[1:-1].astype(np.uint64)
-    return np.concatenate([[0], np.searchsorted(numbers, edges), [len(numbers)]])
+def _edges(n: int) -> list[int]:
+    """Lower bounds of n equal slices of the number space."""
+    return [(s << 64) // n for s in range(n)]
+
+
+def _within(level: int, n: int) -> int:
+    """By how many bits a number's place within one of n slices is shifted to fit what is sent."""
+    return max(0, ((1 << 64) // n).bit_length() - _BITS[level])
 
 
 def _distinct(numbers: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,95 +110,157 @@ def _distinct(numbers: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.nd
     return u, np.bincount(inverse[train], minlength=len(u)), inverse
 
 
-def _dealt(df: DataFrame, how: Interpolation, id_col: str, text_col: str, train: Callable[[str], object]) -> tuple[DataFrame, int, int]:
-    """row fields and text under a chunk number; chunks below the second number are all held-out training texts.
+_CHUNKS = "chunk long, n_bytes long, n_train long, doc_ids array<long>, train array<boolean>, sizes array<int>, packed binary"
 
-    Chunks are as many as the bytes need, so one has about ``chunk_bytes``; rows with
-    the same identifier share a chunk only by chance of the text's hash.
-    """
-    docs = texts(df, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("train", train("doc_id")).withColumn("dealt", F.xxhash64("doc_id", "text"))
-    dev = F.col("train") & (F.pmod(F.col("dealt"), F.lit(how.held_out_every)) == 0)
-    docs = docs.withColumn("dev", dev)
-    sizes = {bool(r.dev): r.b for r in docs.groupBy("dev").agg(F.sum(F.octet_length("text") + 1).alias("b")).collect()}
-    n_dev = max(1, -(-int(sizes.get(True, 0)) // how.chunk_bytes))
-    n_rest = max(1, -(-int(sizes.get(False, 0)) // how.chunk_bytes))
-    spread = F.shiftrightunsigned(F.col("dealt"), 8)
-    chunk = F.when(F.col("dev"), F.pmod(spread, F.lit(n_dev))).otherwise(n_dev + F.pmod(spread, F.lit(n_rest)))
-    n = n_dev + n_rest
-    return docs.select(chunk.cast("long").alias("chunk"), "doc_id", "train", "text").repartition(n, "chunk"), n, n_dev
 
+def formed(df: DataFrame, how: Interpolation, id_col: str, text_col: str, train: Callable[[str], object]) -> DataFrame:
+    """The texts as rows of about ``chunk_bytes``, compressed; odd chunk numbers hold held-out training texts only.
 
-def _texts_of(t: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    column = t.column("text").combine_chunks()
-    uni, bi, first = _grams(column)
-    train = np.repeat(t.column("train").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
-    return column, uni, bi, first, train, np.repeat(np.arange(t.num_rows), np.diff(first))
+    Rows stay in the task that read them.  Texts are held out by a hash of identifier
+    and text, so repeated rows go together.
+    """
+    docs = texts(df, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("train", train("doc_id"))
+    docs = docs.withColumn("dev", F.col("train") & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(how.held_out_every)) == 0))
+    most = how.chunk_bytes
+
+    def row(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        column = t.column("text").cast(pa.large_string()).combine_chunks()
+        offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+        sizes, data = np.diff(offsets), column.buffers()[2]
+        data = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])) if data is not None else pa.py_buffer(b"")
+        packed = pa.compress(data, codec="zstd", asbytes=True)
+        learned = t.column("train").combine_chunks()
+        one = lambda values, kind: pa.array([values], pa.list_(kind))
+        cols = [pa.array([number]), pa.array([data.size]), pa.array([learned.true_count]), pa.ListArray.from_arrays([0, t.num_rows], t.column("doc_id").combine_chunks())]
+        cols += [pa.ListArray.from_arrays([0, t.num_rows], learned), one(sizes.astype(np.int32), pa.int32()), pa.array([packed], pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=["chunk", "n_bytes", "n_train", "doc_ids", "train", "sizes", "packed"])
+
+    def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId() << 32, 0
+        open_: dict[bool, list[pa.RecordBatch]] = {False: [], True: []}
+        size = {False: 0, True: 0}
+        for batch in batches:
+            for dev in (False, True):
+                for block in blocks_of(batch.filter(batch.column("dev") if dev else pc.invert(batch.column("dev"))), most=min(most, 1 << 20)):
+                    open_[dev].append(block)
+                    size[dev] += block.column("text").nbytes
+                    if size[dev] >= most:
+                        yield row(open_[dev], task | made << 1 | dev)
+                        open_[dev], size[dev], made = [], 0, made + 1
+        for dev in (False, True):
+            if open_[dev]:
+                yield row(open_[dev], task | made << 1 | dev)
+                made += 1
+
+    return docs.mapInArrow(form, _CHUNKS)
+
+
+class Chunk:
+    """A chunk's texts as numbers: unigrams, bigrams, offsets by text, which tokens are trained, and each token's text."""
+
+    def __init__(self, t: pa.Table | pa.RecordBatch, k: int):
+        self.number = t.column("chunk")[k].as_py()
+        self.doc_ids, self.train = t.column("doc_ids")[k].values, t.column("train")[k].values
+        sizes = t.column("sizes")[k].values.to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        data = pa.decompress(t.column("packed")[k].as_buffer(), decompressed_size=int(offsets[-1]), codec="zstd") if offsets[-1] else pa.py_buffer(b"")
+        column = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), data)
+        self.uni, self.bi, self.first = _grams(column)
+        lengths = np.diff(self.first)
+        self.trained = np.repeat(self.train.to_numpy(zero_copy_only=False).astype(bool), lengths)
+        self.doc = np.repeat(np.arange(len(sizes)), lengths)
 
 
 def ask(chunks: DataFrame, n_slices: int) -> DataFrame:
-    """level, slice, chunk, numbers, counts: what each chunk asks for."""
-
-    def of_chunk(t: pa.Table) -> pa.Table:
-        _, uni, bi, _, train, _ = _texts_of(t)
-        rows: list[tuple] = []
-        chunk = t.column("chunk")[0].as_py()
-        for level, numbers in ((1, uni), (2, bi)):
-            u, c, _ = _distinct(numbers, train)
-            cuts = _slices(u, n_slices)
-            for s in range(n_slices):
-                a, b = cuts[s], cuts[s + 1]
-                rows.append((level, s, chunk, _pack(u[a:b], _WIDTHS[level]), _counts_bytes(c[a:b])))
-        cols = [pa.array(x, type=k) for x, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))]
-        return pa.Table.from_arrays(cols, names=["level", "slice", "chunk", "numbers", "counts"])
-
-    return chunks.groupBy("chunk").applyInArrow(of_chunk, "level int, slice long, chunk long, numbers binary, counts binary")
-
-
-def answer(asked: DataFrame) -> DataFrame:
-    """level, slice, chunk, totals; and rows of chunk -1 with the slice's number of trained n-grams and their sum."""
-
-    def of_slice(t: pa.Table) -> pa.Table:
-        level, s = t.column("level")[0].as_py(), t.column("slice")[0].as_py()
-        width = _WIDTHS[level]
-        order = np.argsort(t.column("chunk").to_numpy())
-        chunks = t.column("chunk").to_numpy()[order]
-        numbers = [_unpack(t.column("numbers")[int(k)].as_py(), width) for k in order]
-        all_numbers = np.concatenate(numbers)
-        all_counts = np.concatenate([_counts_of(t.column("counts")[int(k)].as_py()) for k in order])
-        sizes = [len(x) for x in numbers]
-        del numbers
-        u, inverse = np.unique(all_numbers, return_inverse=True)
-        totals = np.zeros(len(u), dtype=np.int64)
-        np.add.at(totals, inverse, all_counts)
-        replies, at = [], 0
-        for size in sizes:
-            replies.append(_counts_bytes(totals[inverse[at : at + size]]))
-            at += size
-        trained = totals > 0
-        n = len(replies)
-        return pa.table({
-            "level": pa.array([level] * (n + 1), pa.int32()), "slice": pa.array([s] * (n + 1), pa.int64()), "chunk": pa.array([*chunks.tolist(), -1], pa.int64()),
-            "totals": pa.array([*replies, None], pa.binary()), "types": pa.array([None] * n + [int(trained.sum())], pa.int64()), "tokens": pa.array([None] * n + [int(totals.sum())], pa.int64()),
-        })
+    """level, slice, chunk, numbers, counts: what each chunk asks for, a row for each slice it has numbers of."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.array(_edges(n_slices), dtype=np.uint64)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                c = Chunk(batch, k)
+                for level, numbers in ((1, c.uni), (2, c.bi)):
+                    u, counts, _ = _distinct(numbers, c.trained)
+                    cuts = np.concatenate([np.searchsorted(u, edges), [len(u)]])
+                    some = np.flatnonzero(np.diff(cuts))
+                    shift = np.uint64(_within(level, n_slices))
+                    sent = [pack_sorted((u[cuts[s] : cuts[s + 1]] - edges[s]) >> shift) for s in some]
+                    back = [counts_bytes(counts[cuts[s] : cuts[s + 1]]) for s in some]
+                    n = len(some)
+                    cols = [pa.array(np.full(n, level, np.int32)), pa.array(some.astype(np.int64)), pa.array(np.full(n, c.number)), pa.array(sent, pa.binary()), pa.array(back, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, names=["level", "slice", "chunk", "numbers", "counts"])
+
+    return chunks.mapInArrow(each, "level int, slice long, chunk long, numbers binary, counts binary")
+
+
+def answer(asked: DataFrame, n_slices: int, parts: int) -> DataFrame:
+    """level, slice, chunk, totals; and a row of chunk null with the slice's number of trained n-grams and their sum.
+
+    A slice's numbers are dealt into ``parts`` by range and added up part by part; what
+    waits, numbers and answers, lies in files of the task once it is more than a few
+    megabytes.
+    """
+
+    def of_slice(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level, s = key[0].as_py(), key[1].as_py()
+        top = max(1, (((1 << 64) // n_slices) + 1) >> _within(level, n_slices))
+        bounds = np.array([p * top // parts for p in range(1, parts)], dtype=np.uint64)
+        spool = lambda: tempfile.SpooledTemporaryFile(max_size=(64 << 20) // parts)
+        waiting, sizes, chunks = [spool() for _ in range(parts)], [], []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                numbers, counts = unpack_sorted(batch.column("numbers")[k].as_py()), counts_of(batch.column("counts")[k].as_py())
+                cuts = [0, *np.searchsorted(numbers, bounds).tolist(), len(numbers)]
+                for p in range(parts):
+                    a, b = cuts[p], cuts[p + 1]
+                    waiting[p].write(numbers[a:b].astype("<u8").tobytes())
+                    waiting[p].write(counts[a:b].astype("<i8").tobytes())
+                sizes.append(np.diff(cuts))
+                chunks.append(batch.column("chunk")[k].as_py())
+        types = tokens = 0
+        answers = []
+        for p in range(parts):
+            waiting[p].seek(0)
+            each = [x[p] for x in sizes]
+            numbers, counts = [], []
+            for n in each:
+                numbers.append(np.frombuffer(waiting[p].read(8 * n), "<u8"))
+                counts.append(np.frombuffer(waiting[p].read(8 * n), "<i8"))
+            waiting[p].close()
+            u, inverse = np.unique(np.concatenate(numbers), return_inverse=True)
+            totals = np.zeros(len(u), dtype=np.int64)
+            np.add.at(totals, inverse, np.concatenate(counts))
+            types, tokens = types + int((totals > 0).sum()), tokens + int(totals.sum())
+            answers.append(spool())
+            answers[-1].write(totals[inverse].astype("<i8").tobytes())
+            answers[-1].seek(0)
+        schema = pa.schema([("level", pa.int32()), ("slice", pa.int64()), ("chunk", pa.int64()), ("totals", pa.binary()), ("types", pa.int64()), ("tokens", pa.int64())])
+        for chunk, each in zip(chunks, sizes):
+            totals = np.concatenate([np.frombuffer(f.read(8 * n), "<i8") for f, n in zip(answers, each)])
+            yield pa.RecordBatch.from_pylist([{"level": level, "slice": s, "chunk": chunk, "totals": counts_bytes(totals), "types": None, "tokens": None}], schema=schema)
+        for f in answers:
+            f.close()
+        yield pa.RecordBatch.from_pylist([{"level": level, "slice": s, "chunk": None, "totals": None, "types": types, "tokens": tokens}], schema=schema)
 
     return asked.groupBy("level", "slice").applyInArrow(of_slice, "level int, slice long, chunk long, totals binary, types long, tokens long")
 
 
-def _looked_up(t: pa.Table, replies: pa.Table) -> dict:
-    """Texts of a chunk with the counts of each token's unigram, context and bigram."""
-    column, uni, bi, first, train, doc = _texts_of(t)
-    out = {"first": first, "doc": doc, "train": train}
+def _looked_up(t: pa.Table, replies: pa.Table) -> tuple[Chunk, dict]:
+    """A chunk with the counts of each token's unigram and bigram, and numbers that tell its n-grams apart."""
+    c, out = Chunk(t, 0), {}
     levels, slices = replies.column("level").to_numpy(), replies.column("slice").to_numpy()
-    for level, numbers, name in ((1, uni, "c1"), (2, bi, "c2")):
-        u, own, inverse = _distinct(numbers, train)
+    for level, numbers, name in ((1, c.uni, "c1"), (2, c.bi, "c2")):
+        u, _, inverse = _distinct(numbers, c.trained)
         mine = np.flatnonzero(levels == level)
         mine = mine[np.argsort(slices[mine])]
-        totals = np.concatenate([_counts_of(replies.column("totals")[int(k)].as_py()) for k in mine]) if len(mine) else np.zeros(len(u), np.int64)
-        assert len(totals) == len(u), "a chunk's texts differ from those it asked for"
-        out[name] = totals[inverse]
-        out[f"{name}_key"] = inverse
-    return out
+        totals = np.concatenate([counts_of(replies.column("totals")[int(k)].as_py()) for k in mine]) if len(mine) else np.zeros(0, np.int64)
+        if len(totals) != len(u):
+            raise ValueError(f"chunk {c.number} asked for {len(u)} n-grams and got {len(totals)} answers")
+        out[name], out[f"{name}_key"] = totals[inverse], inverse
+    out |= {"first": c.first, "doc": c.doc}
+    return c, out
 
 
 def _before(values: np.ndarray, first: np.ndarray, at_start: np.ndarray | float) -> np.ndarray:
@@ -261,20 +340,20 @@ def score_language(df: DataFrame, how: Interpolation = Interpolation(), id_col:
     table gives an empty table.  Only the two named columns are read.
     """
     train = train or learned_from
-    chunks, n_chunks, n_dev = _dealt(df, how, id_col, text_col, train)
-    n_slices = max(1, -(-n_chunks * how.chunk_bytes // (8 * how.slice_entries)))
-    answers = cut(answer(ask(chunks, n_slices)))
-    sums = answers.filter("chunk = -1 and level = 1").agg(F.sum("types"), F.sum("tokens")).first()
-    types, tokens = int(sums[0] or 0), int(sums[1] or 0)
-    replies = answers.filter("chunk >= 0").select("chunk", "level", "slice", "totals")
-    ends = chunks.filter("train").count()  # each training text has one end
+    chunks = cut(formed(df, how, id_col, text_col, train))
+    n_bytes, ends = (int(x or 0) for x in chunks.agg(F.sum("n_bytes"), F.sum("n_train")).first())  # each training text has one end
+    slices = max(1, -(-n_bytes // how.slice_bytes))
+    n_slices = min(slices, how.most_slices)
+    answers = cut(answer(ask(chunks, n_slices), n_slices, -(-slices // n_slices)))
+    types, tokens = (int(x or 0) for x in answers.filter("chunk is null and level = 1").agg(F.sum("types"), F.sum("tokens")).first())
+    replies = answers.filter("chunk is not null").select("chunk", "level", "slice", "totals")
     steps = how.steps
 
     def events(t: pa.Table, r: pa.Table) -> pa.Table:
         schema = pa.schema([("bucket", pa.int64()), ("g2", pa.int64()), ("g1", pa.int64()), ("n", pa.int64())])
         if t.num_rows == 0:
             return schema.empty_table()
-        f = _looked_up(t, r)
+        _, f = _looked_up(t, r)
         lengths = np.diff(f["first"])
         own1, own2 = _own_counts(f["c1_key"], f["doc"]), _own_counts(f["c2_key"], f["doc"])
         f["c1"], f["c2"], f["ends"] = f["c1"] - own1, f["c2"] - own2, ends - 1
@@ -284,22 +363,22 @@ def score_language(df: DataFrame, how: Interpolation = Interpolation(), id_col:
         u, n = np.unique(np.stack([_bucket(context), grid(p2), grid(p1)], axis=1), axis=0, return_counts=True)
         return pa.table([pa.array(u[:, 0]), pa.array(u[:, 1]), pa.array(u[:, 2]), pa.array(n.astype(np.int64))], schema=schema)
 
-    dev = chunks.filter(F.col("chunk") < n_dev)
-    found = dev.groupBy("chunk").cogroup(replies.filter(F.col("chunk") < n_dev).groupBy("chunk")).applyInArrow(events, "bucket long, g2 long, g1 long, n long")
+    dev = F.col("chunk") % 2 == 1
+    found = chunks.filter(dev).groupBy("chunk").cogroup(replies.filter(dev).groupBy("chunk")).applyInArrow(events, "bucket long, g2 long, g1 long, n long")
     weights = mixture_weights(held_out_grid(found), types, how)
 
     def scores(t: pa.Table, r: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         if t.num_rows == 0:
             return schema.empty_table()
-        f = _looked_up(t, r)
+        c, f = _looked_up(t, r)
         f["ends"] = ends
         context, p2, p1 = _probabilities(f, tokens)
         lam = weights[_bucket(context)]
         p = lam[:, 0] * p2 + lam[:, 1] * p1 + lam[:, 2] / (types + 1)
         base = np.log10((f["c1"] + 0.5) / (tokens + 0.5 * (types + 1)))
         add = lambda x: np.add.reduceat(x, f["first"][:-1])
-        cols = [t.column("doc_id").combine_chunks(), t.column("train").combine_chunks(), pa.array(np.diff(f["first"])), pa.array(add((f["c1"] > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(p)))]
+        cols = [c.doc_ids, c.train, pa.array(np.diff(f["first"])), pa.array(add((f["c1"] > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(p)))]
         return pa.table(cols, schema=schema)
 
     out = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(scores, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")

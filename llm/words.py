@@ -48,6 +48,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
 _FOLDED = np.array([_mix_scalar(int(b) + 1) for b in _LOWER], dtype=np.uint64)
+_SHAPE = np.where((np.arange(256) >= 48) & (np.arange(256) <= 57), _FOLDED[48], _FOLDED)
 _EXACT = np.array([_mix_scalar(b + 1) for b in range(256)], dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
 
@@ -91,11 +92,18 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(texts: pa.Array, fold: bool = True) -> Words:
-    """The words of each text.  ``fold`` lower-cases A-Z."""
-    data, offsets = _bytes_of(texts)
+def words_of(texts: pa.Array, fold: bool | str = True, strip: bytes = b"") -> Words:
+    """The words of each text.  ``fold`` lower-cases A-Z; as "shape" it makes digits alike, too.
+
+    With ``strip`` a word's number is that of the word without such bytes at either end;
+    a word of nothing else has number 0.
+    """
+    return _words(*_bytes_of(texts), fold, strip)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, fold: bool | str, strip: bytes = b"") -> Words:
     n = len(data)
-    table = _FOLDED if fold else _EXACT
+    table = _SHAPE if fold == "shape" else _FOLDED if fold else _EXACT
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
         return Words(np.zeros(0, dtype=np.uint64), none, none, np.zeros(len(offsets), dtype=np.int64), data, offsets)
@@ -116,11 +124,54 @@ def words_of(texts: pa.Array, fold: bool = True) -> Words:
     terms = table[data]
     terms *= _power("up", n)
     terms[~inside] = 0
+    low, high = starts, ends
+    if strip:
+        core = np.ones(256, dtype=bool)
+        core[list(strip)] = False
+        core = np.flatnonzero(core[data] & inside)
+        low = np.minimum(np.append(core, n)[np.searchsorted(core, starts)], ends)
+        high = np.maximum(np.append(-1, core)[np.searchsorted(core, ends)] + 1, low)
+        edges = np.zeros(n + 1, dtype=np.int64)
+        np.add.at(edges, low, 1)
+        np.add.at(edges, high, -1)
+        terms[np.cumsum(edges[:-1]) == 0] = 0
     sums = np.add.reduceat(terms, starts)
-    hashes = mix64(sums * _power("down", n)[starts] + (ends - starts).astype(np.uint64))
+    hashes = mix64(sums * _power("down", n)[np.minimum(low, n - 1)] + (high - low).astype(np.uint64))
+    if strip:
+        hashes[high <= low] = 0
     return Words(hashes, starts, ends, first, data, offsets)
 
 
+def word_numbers(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's number, and offsets by text, as in ``words_of``; long texts are taken in stretches.
+
+    Stretches are of about ``BLOCK_BYTES`` and end where a word does, so memory beyond
+    the numbers is bounded, but for a single longer word.
+    """
+    data, offsets = _bytes_of(texts)
+    out, counts = [], np.zeros(len(offsets) - 1, dtype=np.int64)
+    at = 0
+    while at < len(counts):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1)
+        low, high = int(offsets[at]), int(offsets[to])
+        if to > at + 1 or high - low <= BLOCK_BYTES:
+            w = _words(data[low:high], offsets[at : to + 1] - low, fold)
+            out.append(w.hashes)
+            counts[at:to] = np.diff(w.first)
+        else:
+            while low < high:
+                end = min(low + BLOCK_BYTES, high)
+                while end < high and not _SPACE[data[end]]:
+                    step = np.flatnonzero(_SPACE[data[end : end + BLOCK_BYTES]])
+                    end = end + int(step[0]) if len(step) else min(end + BLOCK_BYTES, high)
+                w = _words(data[low:end], np.array([0, end - low]), fold)
+                out.append(w.hashes)
+                counts[at] += len(w.hashes)
+                low = end
+        at = to
+    return np.concatenate([np.zeros(0, np.uint64), *out]), np.concatenate([[0], np.cumsum(counts)])
+
+
 def blocks_of(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts come to about ``most`` bytes; a longer text is a slice of its own."""
     if batch.num_rows == 0:
