@@ -1,13 +1,14 @@
 """Toxicity by weak supervision.
 
-Many voters (lexicon words and surface patterns) vote on each text.  A generative label
-model estimates how accurate each is, and which of them are correlated, from how often
-they agree, with a share of labelled texts fixing the class balance.  The posterior labels train a
+Many voters (lexicon words for either class, and surface patterns) vote on each text.  A
+generative label model estimates how accurate each is, and which of them are correlated,
+from how often they agree, on labelled and unlabelled texts alike; a text's own label is
+one more voter, whose accuracy is estimated like the others'.  The posterior labels train a
 linear classifier, which scores every text.
 
 All that is gathered has a fixed bound: voters are at most ``most_words`` words and a few
-patterns, so votes come to a square matrix of that size; the classifier is fitted on at
-most ``most_rows`` texts.
+patterns; lexicon, label model and classifier are fitted on at most ``most_rows`` labelled
+and ``most_unlabelled`` unlabelled texts.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.frames import map_texts, table, texts
+from llm.frames import cut, map_texts, table, texts
 from llm.words import blocks_of
 
-_TERM = re.compile(r"[^\W\d_]{2,40}")
+_TERM = re.compile(r"[^\W\d_]{2,}")
 #: Words from which the lexicon starts; labelled texts add to them.
 SEED_WORDS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "disgusting", "pathetic", "clown", "hate", "dumb", "vermin", "filthy")
 #: Surface patterns that vote when no word does.
@@ -39,8 +40,9 @@ PATTERNS: tuple[tuple[str, re.Pattern[str]], ...] = (
 
 @dataclass(frozen=True)
 class Supervision:
-    most_words: int = 400  # lexicon voters: words and stems
+    most_words: int = 400  # lexicon voters for toxic texts, words and stems, and as many again for clean ones
     most_rows: int = 20_000  # labelled texts on which lexicon, label model and classifier are fitted
+    most_unlabelled: int = 10_000  # unlabelled texts on which label model and classifier are fitted, too
     least_texts: int = 4  # labelled toxic texts a lexicon word is in
     chance: float = 8.0  # powers of ten
     least_lift: float = 8.0  # how much more frequent a lexicon word is in toxic texts
@@ -53,12 +55,13 @@ class Supervision:
 @dataclass(frozen=True)
 class ToxicityModel:
     words: tuple[str, ...]
-    voter_weights: np.ndarray  # log odds that each voter adds in the label model
-    weights: np.ndarray  # of the classifier: voters, then their count and share
+    voter_weights: np.ndarray  # log odds that each voter adds in the label model, alone and in company
+    weights: np.ndarray  # of the classifier: voters alone and in company, whether any fires, and how many
     intercept: float
     prior: float
     accuracies: np.ndarray = field(default_factory=lambda: np.zeros(0))
     correlated: tuple[tuple[int, int], ...] = ()
+    gold_rates: tuple[float, float] = (0.9, 0.1)  # of toxic and of clean texts, the estimated share that is labelled toxic
 
 
 #: Lengths of stems: inflected and compounded words share one.
@@ -85,12 +88,12 @@ def _votes(text: str, have: set[str], at: dict[str, int]) -> np.ndarray:
 
 
 def lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, how: Supervision) -> tuple[str, ...]:
-    """Seed words, and features that toxic texts have far more often than clean ones, the strongest first, ties in order of the alphabet.
+    """Seed words, features that toxic texts have far more often than clean ones, and those only clean texts have; the strongest first, ties in order of the alphabet.
 
-    ``counts``: a feature, the families of toxic texts and the clean texts it is in;
-    near copies are one family.  A feature must be so lopsided that chance would bring
-    it about once in 10**``chance`` features.  What only continues a chosen stem that
-    clean texts hardly have says nothing new and is left out.
+    ``counts``: a feature, the families of toxic and of clean texts it is in; near
+    copies are one family.  A feature must be so lopsided that chance would bring it
+    about once in 10**``chance`` features.  What only continues a chosen stem that clean
+    texts hardly have says nothing new and is left out.
     """
     p = min(0.5, max(1, toxic) / max(1, toxic + clean))
     lift = {w: (a / max(1, toxic)) / ((b + 0.5) / max(1, clean)) for w, a, b in counts if a >= how.least_texts}
@@ -105,7 +108,9 @@ def lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, how: Sup
             chosen.append(w)
             if w == bare and b <= 0.02 * a:
                 pure.add(w)
-    return tuple(chosen[: how.most_words])
+    quiet = {w: b * -math.log10(1 - p) for w, a, b in counts if a == 0 and w not in chosen}
+    calm = sorted((w for w in quiet if quiet[w] >= how.chance), key=lambda w: (-quiet[w], w))
+    return (*chosen[: how.most_words], *calm[: how.most_words])
 
 
 def _groups(dependent: np.ndarray) -> np.ndarray:
@@ -118,18 +123,23 @@ def _groups(dependent: np.ndarray) -> np.ndarray:
         group = low
 
 
-def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[tuple[int, int], ...]]:
-    """Posterior labels, accuracies, log-odds weights and correlated pairs of voters, by expectation-maximisation.
+def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[tuple[int, int], ...], tuple[float, float]]:
+    """Posterior labels, accuracies, log-odds weights and correlated pairs of voters, and how often toxic and clean texts are labelled toxic, by expectation-maximisation.
 
     A voter fires or abstains; how often it fires in either class is estimated, and an
     abstention is no evidence.  Pairs that agree far beyond what the classes explain
     are correlated; of correlated voters that fire on a text only the strongest counts.
-    Texts on which none fires have a share of their own.
+    Texts on which none fires have a share of their own.  ``gold`` has a text's label,
+    0 or 1, or nan: a voter that never abstains where there is one, and which is taken
+    to be right nine times in ten; that belief is worth a quarter of the texts, as a
+    label that outvotes all others would only confirm itself.
     """
     n, k = votes.shape
-    some = votes.any(1)
+    some, said = votes.any(1), ~np.isnan(gold)
+    label = np.where(said, gold, 0.0)
+    right, wrong = 0.9, 0.1  # of toxic and of clean texts, the share that is labelled toxic
     q = np.clip(np.where(some, 0.5, prior * 0.2), 1e-3, 1 - 1e-3)
-    q = 0.5 * q + 0.5 * np.clip(gold, 0.02, 0.98)
+    q = np.where(said, 0.5 * q + 0.5 * np.clip(label, 0.02, 0.98), np.where(some, prior, q))
     fires = votes.sum(0)
     group = np.arange(k)
     pairs: tuple[tuple[int, int], ...] = ()
@@ -138,6 +148,10 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
         one = (q @ votes + 0.05) / (q.sum() + 0.1)
         zero = ((1 - q) @ votes + 0.05) / ((1 - q).sum() + 1.0)
         weights = np.log(one / zero)
+        if step:
+            toxic, clean = q[said].sum(), (1 - q)[said].sum()
+            right = (0.9 * (10 + toxic / 4) + (q * label)[said].sum()) / (10 + 1.25 * toxic)
+            wrong = (0.1 * (10 + clean / 4) + ((1 - q) * label)[said].sum()) / (10 + 1.25 * clean)
         if step == rounds // 2:
             joint = votes.T @ votes / n
             p = q.mean()
@@ -156,27 +170,33 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
             odds += up + down
         none = np.clip(q[~some].mean() if (~some).any() else prior, 1e-3, 1 - 1e-3)
         odds[~some] = np.log(none / (1 - none))
-        # the label of a single text may be wrong: it is one more voter, right nine times in ten
-        odds += np.where(gold > 0.5, 1, -1) * np.log(9.0)
+        odds += np.where(said, np.where(label > 0.5, np.log(right / wrong), np.log((1 - right) / (1 - wrong))), 0.0)
         q = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     accuracy = one * prior / np.maximum(one * prior + zero * (1 - prior), 1e-12)
-    return q, accuracy, np.log(one / zero), pairs
+    return q, accuracy, np.log(one / zero), pairs, (float(right), float(wrong))
+
+
+def _company(votes: np.ndarray) -> np.ndarray:
+    """Each voter as two: where it fires alone, and where others fire, too.  One word in a long text says less than several."""
+    n = votes.sum(1, keepdims=True)
+    return np.hstack([votes * (n == 1), votes * (n > 1)])
 
 
 def _features(votes: np.ndarray) -> np.ndarray:
-    """Voters, whether any fires, and how many do."""
+    """Voters alone and in company, whether any fires, and how many do."""
     n = votes.sum(1, keepdims=True)
-    return np.hstack([votes, n > 0, np.log1p(n)])
+    return np.hstack([_company(votes), n > 0, np.log1p(n)])
 
 
 def fit(words: tuple[str, ...], votes: np.ndarray, gold: np.ndarray, how: Supervision = Supervision()) -> ToxicityModel:
-    """The model from the votes on labelled texts; without labels of both classes, the seed words alone decide."""
-    k = len(words) + len(PATTERNS)
-    if len(set(gold.tolist())) < 2:
-        w = np.concatenate([np.full(len(words), 3.0), np.full(len(PATTERNS), 1.0)])
+    """The model from the votes, with gold labels or nan; without labels of both classes, the seed words alone decide."""
+    k = 2 * (len(words) + len(PATTERNS))
+    labels = gold[~np.isnan(gold)]
+    if len(set(labels.tolist())) < 2:
+        w = np.tile(np.concatenate([np.full(len(words), 3.0), np.full(len(PATTERNS), 1.0)]), 2)
         return ToxicityModel(words, w, np.concatenate([w, [0.0, 0.0]]), -3.0, 0.05, np.full(k, 0.5))
-    prior = float(np.clip(gold.mean(), 0.005, 0.5))
-    posterior, accuracies, voter_weights, pairs = label_model(votes, prior, gold, how.rounds)
+    prior = float(np.clip(labels.mean(), 0.005, 0.5))
+    posterior, accuracies, voter_weights, pairs, gold_rates = label_model(_company(votes), prior, gold, how.rounds)
     x1 = np.hstack([_features(votes), np.ones((len(votes), 1))])
     beta, ridge = np.zeros(x1.shape[1]), np.full(x1.shape[1], 0.05)
     ridge[-1] = 1e-6
@@ -188,7 +208,7 @@ def fit(words: tuple[str, ...], votes: np.ndarray, gold: np.ndarray, how: Superv
         beta -= step
         if np.abs(step).max() < 1e-8:
             break
-    return ToxicityModel(words, voter_weights, beta[:-1], float(beta[-1]), prior, accuracies, pairs)
+    return ToxicityModel(words, voter_weights, beta[:-1], float(beta[-1]), prior, accuracies, pairs, gold_rates)
 
 
 def score_texts(model: ToxicityModel, column: pa.Array) -> np.ndarray:
@@ -233,33 +253,73 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+_MINIMA = 8
+
+
+def _minima(words: set[str]) -> list[int]:
+    """Minima of so many hashes of a text's words."""
+    return [min((zlib.crc32(w.encode(), salt) for w in words), default=0) for salt in range(1, _MINIMA + 1)]
+
+
+def families(signatures: dict[int, list[int]]) -> dict[int, int]:
+    """Near copies by identifier: the first text, in order of identifiers, with which at least half of the minima agree stands for a family."""
+    leaders: dict[tuple[int, int], list[int]] = {}
+    out: dict[int, int] = {}
+    for i in sorted(signatures):
+        mine = signatures[i]
+        agree: dict[int, int] = {}
+        for key in enumerate(mine):
+            for leader in leaders.get(key, ()):
+                agree[leader] = agree.get(leader, 0) + 1
+        best = min(((-n, leader) for leader, n in agree.items()), default=(0, i))
+        if -best[0] * 2 >= _MINIMA:
+            out[i] = best[1]
+        else:
+            out[i] = i
+            for key in enumerate(mine):
+                leaders.setdefault(key, []).append(i)
+    return out
+
+
 def learn_toxicity(docs: DataFrame, labels: DataFrame, how: Supervision = Supervision()) -> ToxicityModel:
-    """Fits on at most ``how.most_rows`` labelled texts, those whose identifiers hash lowest.
+    """Fits on at most ``how.most_rows`` labelled and ``how.most_unlabelled`` other texts, those whose identifiers hash lowest.
 
     Rows without label or identifier, and held-out rows, are left out; several labels
-    of a text count as the worst.  Texts stay on the executors: the driver gets word
-    counts of the lexicon (a few hundred rows) and the voters that fired on each text.
+    of a text count as the worst.  Texts stay on the executors: the driver gets the
+    counts of lopsided features and the voters that fired on each text.
     """
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out())
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.most_rows)
-    sample = texts(docs).join(F.broadcast(ids), "doc_id")  # at most most_rows rows of two numbers are broadcast
+    other = texts(docs).select("doc_id").filter("doc_id is not null").filter(~held_out()).join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti")
+    other = other.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.most_unlabelled).withColumn("toxic", F.lit(None).cast("int"))
+    ids = cut(ids.unionByName(other))
+    sample = cut(texts(docs).join(F.broadcast(ids), "doc_id"))  # at most most_rows + most_unlabelled rows of two numbers are broadcast
+
+    labelled = sample.filter("toxic is not null")
+
+    def sign(batches):
+        for batch in batches:
+            signed = [_minima(terms(x or "")) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signed, type=pa.list_(pa.int64()))], names=["doc_id", "minima"])
+
+    found = families({r.doc_id: r.minima for r in labelled.mapInArrow(sign, "doc_id long, minima array<long>").collect()})  # at most most_rows rows
+    spark = docs.sparkSession
+    found = F.broadcast(spark.createDataFrame(pa.table({"doc_id": pa.array(list(found), pa.int64()), "family": pa.array(list(found.values()), pa.int64())})))
 
     def digest(batches):
         for batch in batches:
-            have = [terms(x or "") for x in batch.column("text").to_pylist()]
-            family = [min((zlib.crc32(w.encode()), w) for w in h)[1] if h else "" for h in have]
-            cols = [batch.column("toxic"), pa.array(family, type=pa.string()), pa.array([sorted(word_features(h)) for h in have], type=pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(cols, names=["toxic", "family", "words"])
-
-    family = sample.mapInArrow(digest, "toxic int, family string, words array<string>")
-    sizes = {r.toxic: (r.families, r.n) for r in family.groupBy("toxic").agg(F.count_distinct("family").alias("families"), F.count("*").alias("n")).collect()}
-    sizes = {1: sizes.get(1, (0, 0))[0], 0: sizes.get(0, (0, 0))[1]}
-    # clean texts are only counted, so (word, no family) combines on the map side
-    pairs = family.select("toxic", "family", F.explode("words").alias("word")).groupBy("word", F.when(F.col("toxic") == 1, F.col("family")).alias("family")).agg(F.sum(1 - F.col("toxic")).alias("b"))
-    pairs = pairs.groupBy("word").agg(F.count("family").alias("a"), F.sum("b").alias("b"))
-    strong = pairs.filter(F.col("a") >= how.least_texts).withColumn("lift", (F.col("a") / max(1, sizes.get(1, 0))) / ((F.col("b") + 0.5) / max(1, sizes.get(0, 0))))
-    strong = strong.filter(F.col("lift") >= how.least_lift).orderBy(F.desc(F.col("a") * F.log("lift")), "word").limit(10 * how.most_words)
-    words = lexicon([(r.word, int(r.a), int(r.b)) for r in strong.collect()], sizes.get(1, 0), sizes.get(0, 0), how)
+            have = [sorted(word_features(terms(x or ""))) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("family"), pa.array(have, type=pa.list_(pa.string()))], names=["toxic", "family", "words"])
+
+    family = labelled.join(found, "doc_id").select("toxic", "family", "text").mapInArrow(digest, "toxic int, family long, words array<string>")
+    sizes = {r.toxic: r.families for r in family.groupBy("toxic").agg(F.count_distinct("family").alias("families")).collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    pairs = family.select("toxic", "family", F.explode("words").alias("word")).distinct()
+    pairs = pairs.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    share = min(0.5, max(1, toxic) / max(1, toxic + clean))
+    strong = (F.col("a") >= how.least_texts) & ((F.col("a") / max(1, toxic)) / ((F.col("b") + 0.5) / max(1, clean)) >= how.least_lift)
+    calm = (F.col("a") == 0) & (F.col("b") * -math.log10(1 - share) >= how.chance)
+    words = lexicon([(r.word, int(r.a), int(r.b)) for r in pairs.filter(strong | calm).collect()], toxic, clean, how)
     at = {w: k for k, w in enumerate(words)}
 
     def vote(batches):
@@ -267,11 +327,11 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, how: Supervision = Superv
             fired = [np.flatnonzero(_votes(x or "", terms(x or ""), at)) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(fired, type=pa.list_(pa.int32()))], names=["doc_id", "toxic", "fired"])
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(vote, "doc_id long, toxic int, fired array<int>").collect())
-    votes = np.zeros((len(rows), len(words) + len(PATTERNS)))
+    rows = sorted(((r.doc_id, math.nan if r.toxic is None else float(r.toxic), r.fired) for r in sample.mapInArrow(vote, "doc_id long, toxic int, fired array<int>").collect()), key=lambda r: (r[0], r[2]))
+    votes = np.zeros((len(rows), len(words) + len(PATTERNS)), dtype=np.float32)
     for k, (_, _, fired) in enumerate(rows):
         votes[k, fired] = 1
-    return fit(words, votes, np.array([float(y) for _, y, _ in rows]), how)
+    return fit(words, votes, np.array([y for _, y, _ in rows]), how)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
