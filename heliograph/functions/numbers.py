@@ -50,3 +50,10 @@ def log_share_ratio(current: Column, previous: Column, all_current: Column, all_
     a = (current + smoothing) / (all_current + smoothing * n_topics)
     b = (previous + smoothing) / (all_previous + smoothing * n_topics)
     return F.log2(a / b)
+
+
+def numeric_int(json: Column, path: str) -> Column:
+    """The number at a path of a JSON text, without its fraction; 0 for anything else, truth values and text included."""
+    v = F.try_variant_get(F.try_parse_json(json), path, "variant")
+    number = F.schema_of_variant(v).rlike("^(?:BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(F.coalesce(number, F.lit(False)), F.try_variant_get(v, "$", "double").cast("long")).otherwise(F.lit(0).cast("long"))

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.functions.udfs import normalize_names, sequence_ratio
+from heliograph.operators.identifiers import exact_identifiers
 from heliograph.shipping import ship
+from heliograph.storage import written
 
 #: Names too common to identify a repository.
 GENERIC_NAMES = ("code", "demo", "depth", "model", "nerf", "paper", "project", "reconstruction", "repo", "slam", "vision")
@@ -135,31 +137,26 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return both.groupBy("id").agg(F.sort_array(F.collect_set("other")).alias("related"))
 
 
-def components(edges: DataFrame, left: str = "left", right: str = "right", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, left: str = "left", right: str = "right") -> DataFrame:
     """node, component (its smallest node), for nodes with links.
 
     Each round every node takes the smallest label among its neighbours' and then its
-    label's label, so chains shorten by halves.  A round is written to the checkpoint
-    folder: lineage stays short and a lost executor costs no earlier round.
+    label's label, so chains shorten by halves; rounds go on until none changes.  A
+    round is written to the shared folder: lineage stays short and a lost executor costs
+    no earlier round.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="components-"))
     pairs = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).filter("a <> b").distinct()
-    pairs = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-    labels = pairs.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")).checkpoint()
-    for _ in range(rounds):
+    pairs = written(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = written(pairs.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    while True:
         around = pairs.join(labels, pairs["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
         new = labels.join(around, labels["node"] == around["a"]).select("node", F.least("label", "m").alias("label"))
         jump = new.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = new.join(jump, "label", "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label")).checkpoint()
+        new = written(new.join(jump, "label", "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label")))
         moved = new.join(labels.withColumnRenamed("label", "before"), "node").filter("label <> before").limit(1).count()
         labels = new
         if not moved:
             return labels.select("node", F.col("label").alias("component"))
-    raise RuntimeError(f"components didn't settle in {rounds} rounds")
 
 
 def entities(edges: DataFrame) -> DataFrame:
@@ -171,7 +168,21 @@ def entities(edges: DataFrame) -> DataFrame:
 def link(items: DataFrame, identifiers: DataFrame, how: Linking = Linking()) -> tuple[DataFrame, DataFrame]:
     """Edges with evidence, and entities.  Order matters: names link only what nothing else has."""
     papers = items.filter("kind = 'paper'")
-    found = explicit_edges(items).unionByName(identifier_edges(identifiers)).unionByName(title_edges(papers.select("id", "title", "authors"), how)).persist()
+    found = explicit_edges(items).unionByName(identifier_edges(identifiers)).unionByName(title_edges(papers.select("id", "title", "authors"), how))
+    found = written(found)  # read three times below
     repositories = items.filter("kind = 'repository'").select("id", F.element_at(F.split("title", "/"), -1).alias("name"), "topics")
     found = found.unionByName(repository_edges(repositories, papers.select("id", "title", "topics"), found, how))
     return fold_evidence(found), entities(found)
+
+
+def with_related(items: DataFrame, edges: DataFrame) -> DataFrame:
+    """Items whose related_items also have what edges (left, right) link them with, in order."""
+    near = adjacency(edges).select(F.col("id"), F.col("related").alias("__near"))
+    none = F.array().cast("array<string>")
+    both = F.array_sort(F.array_union(F.coalesce("related_items", none), F.coalesce("__near", none)))
+    return items.join(near, "id", "left").withColumn("related_items", both).select(*items.columns)
+
+
+def link_items(items: DataFrame, how: Linking = Linking()) -> tuple[DataFrame, DataFrame]:
+    """``link`` with the identifiers that the items themselves give."""
+    return link(items, exact_identifiers(items), how)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,16 +10,29 @@ from pyspark.sql import functions as F
 
 from heliograph.functions.numbers import round_even
 from heliograph.functions.text import anchor_matches, char_ngrams, contains_phrase, normalize_words, tokens, word_ngrams
+from heliograph.functions.udfs import phrases_in
+from heliograph.shipping import ship
+
+
+#: Aliases up to this number are sent to all tasks (some 20 MB); more are joined.
+BROADCAST_ALIASES = 200_000
 
 
 def phrase_candidates(documents: DataFrame, key: str, field: str, aliases: DataFrame, most_words: int) -> DataFrame:
-    """key, alias: documents whose normalised field has the normalised alias as whole words.
+    """key and the columns of ``aliases``: documents whose normalised field has the normalised alias as whole words.
 
-    Distinct n-grams up to the longest alias meet the aliases by an equi-join, so work
-    grows with the text and not with text times aliases.
+    Up to ``BROADCAST_ALIASES`` aliases each text is walked once, and only runs that
+    begin with an alias's first word are looked up: work follows the text and what is
+    found is all that goes on.  More aliases meet the texts' distinct n-grams by a join.
     """
-    grams = documents.select(key, F.explode(F.array_distinct(word_ngrams(tokens(normalize_words(F.col(field))), 1, most_words))).alias("alias"))
-    return grams.join(aliases, "alias")
+    plain = aliases.filter("alias <> ''")
+    names = [r.alias for r in plain.select("alias").distinct().limit(BROADCAST_ALIASES + 1).collect()]
+    if len(names) > BROADCAST_ALIASES:
+        grams = documents.select(key, F.explode(F.array_distinct(word_ngrams(tokens(normalize_words(F.col(field))), 1, most_words))).alias("alias"))
+    else:
+        ship(documents.sparkSession, "heliograph")
+        grams = documents.select(key, F.explode(phrases_in(F.col(field), [n for n in names if n.count(" ") < most_words])).alias("alias"))
+    return grams.join(plain, "alias")
 
 
 def lexical_topics(documents: DataFrame, key: str, fields: dict[str, float], aliases: DataFrame, most_words: int = 6, rest_weight: float = 0.08, rest_most: float = 0.20) -> tuple[DataFrame, DataFrame]:
@@ -102,8 +116,8 @@ def select_topics(scores: DataFrame, key: str, how: Profiles = Profiles()) -> Da
 
 
 def semantic_topics(documents: DataFrame, key: str, title: str, text: str, profile_texts: DataFrame, anchors: dict[str, tuple[list[str], list[list[str]]]] | None = None, how: Profiles = Profiles()) -> DataFrame:
-    """key, topic, similarity, rank.  ``profile_texts``: topic, text; the title counts twice."""
-    counts = features(profile_texts, "topic", "text", how).cache()
+    """key, topic, similarity, rank.  ``profile_texts``: topic, text, a row for each topic; the title counts twice."""
+    counts = features(profile_texts, "topic", "text", how)
     idf = inverse_frequency(counts, "topic")
     profiles = vectors(counts, "topic", idf, how)
     docs = documents.select(key, F.concat_ws(" ", title, title, text).alias("__all"), normalize_words(F.concat_ws(" ", title, text)).alias("__norm"))
@@ -116,6 +130,21 @@ def semantic_topics(documents: DataFrame, key: str, title: str, text: str, profi
     return select_topics(scores, key, how)
 
 
+@dataclass(frozen=True)
+class Cascade:
+    """When topics of profiles enrich a lexical match, and the band in which an outside classifier is asked."""
+
+    enrichment: float = 0.22
+    ask_from: float = 0.10
+    ask_to: float = 0.28
+    most_candidates: int = 4
+
+
+def rejected(lexical: Column) -> Column:
+    """The result of a text that no step accepts."""
+    return F.struct(F.lit(False).alias("accepted"), lexical.alias("relevance"), F.array().cast("array<string>").alias("topics"), F.lit("rejected").alias("method"))
+
+
 def decide(lexical: Column, lexical_minimum: float, similarity: Column, how: Profiles = Profiles()) -> tuple[Column, Column]:
     """method and relevance: lexical if it is enough, else semantic if similar enough, else rejected."""
     semantic = round_even(F.least(F.greatest(similarity / how.full_scale, F.lit(0.0)), F.lit(1.0)), 4)
@@ -123,4 +152,38 @@ def decide(lexical: Column, lexical_minimum: float, similarity: Column, how: Pro
     return method, F.when(method == "lexical", lexical).when(method == "semantic_profile", semantic).otherwise(0.0)
 
 
-__all__ = ["Profiles", "anchored", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "lexical_topics", "phrase_candidates", "select_topics", "semantic_topics", "vectors"]
+def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Column, Column, Column], Column] | None = None, how: Profiles = Profiles(), cascade: Cascade = Cascade()) -> DataFrame:
+    """``scored`` with result: accepted, relevance, topics, method.
+
+    ``scored``: title, text, lexical (score), lexical_topics, semantic (an array of
+    structs topic and similarity, best first; may be empty).  A lexical match is
+    accepted, and profiles at least ``enrichment`` similar add their topics.  Of the
+    rest, those whose best similarity lies in the band are given to ``classifier``, if
+    there is one: a function of title, text and candidate topics that makes a struct
+    relevant, relevance, topics, or null where it fails or abstains; its topics count
+    where they are candidates.  All others are accepted if similar enough.
+    """
+    best = F.coalesce(F.get("semantic", F.lit(0))["similarity"], F.lit(0.0))
+    topics = F.transform("semantic", lambda x: x["topic"])
+    enough = F.filter("semantic", lambda x: x["similarity"] >= cascade.enrichment)
+    added = F.transform(enough, lambda x: x["topic"])
+    lexical = F.struct(F.lit(True).alias("accepted"), round_even(F.col("lexical"), 4).alias("relevance"), F.array_sort(F.array_union("lexical_topics", added)).alias("topics"), F.when(F.size(enough) > 0, "lexical+semantic_profile").otherwise("lexical").alias("method"))
+    alone = round_even(F.least(F.greatest(best / how.full_scale, F.lit(0.0)), F.lit(1.0)), 4)
+    low = round_even(F.col("lexical"), 4)
+    none = F.array().cast("array<string>")
+    semantic = F.when((best >= how.acceptance) & (F.size("semantic") > 0), F.struct(F.lit(True).alias("accepted"), alone.alias("relevance"), topics.alias("topics"), F.lit("semantic_profile").alias("method"))).otherwise(F.struct(F.lit(False).alias("accepted"), low.alias("relevance"), none.alias("topics"), F.lit("semantic_profile").alias("method")))
+    by_lexical = F.col("lexical") >= lexical_minimum
+    if classifier is None:
+        return scored.withColumn("result", F.when(by_lexical, lexical).otherwise(semantic))
+    candidates = F.slice(topics, 1, cascade.most_candidates)
+    ask = ~by_lexical & (F.size("semantic") > 0) & best.between(cascade.ask_from, cascade.ask_to)
+    # only texts in the band reach the classifier
+    asked = scored.filter(ask).withColumn("__said", classifier(F.col("title"), F.col("text"), candidates))
+    chosen = F.array_sort(F.array_intersect(F.col("__said")["topics"], candidates))
+    good = F.col("__said")["relevant"] & (F.size(chosen) > 0)
+    outside = F.struct(good.alias("accepted"), F.when(good, round_even(F.least(F.greatest(F.col("__said")["relevance"], F.lit(0.0)), F.lit(1.0)), 4)).otherwise(low).alias("relevance"), F.when(good, chosen).otherwise(none).alias("topics"), F.lit("classifier").alias("method"))
+    asked = asked.withColumn("result", F.when(F.col("__said").isNull(), semantic).otherwise(outside)).drop("__said")
+    return asked.unionByName(scored.filter(~ask).withColumn("result", F.when(by_lexical, lexical).otherwise(semantic)))
+
+
+__all__ = ["Cascade", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "lexical_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]

@@ -97,11 +97,35 @@ def best_per_entity(ranked: DataFrame, entity: str, applies: Column, order: list
     return through.unionByName(best)
 
 
+def section_of(watched: Column, label: Column, kind: Column) -> Column:
+    """The digest's section: watched first, then accepted papers, then by kind."""
+    return (
+        F.when(F.coalesce(watched, F.lit(False)), "priority_watch")
+        .when(label == "ACCEPTED", "accepted_papers")
+        .when(kind == "paper", "new_papers")
+        .when(kind == "repository", "new_repositories")
+        .when(kind.isin("model", "project"), "models_and_demos")
+        .when(kind == "article", "research_announcements")
+        .when(kind.isin("release", "tag", "commit", "event"), "project_updates")
+        .otherwise("other")
+    )
+
+
 def sections(ranked: DataFrame, section: str, limits: dict[str, int], order: list[Column], default: int | None = None) -> DataFrame:
-    """The first rows of each section with their rank, and how many of it are hidden; no limit shows all."""
+    """The first rows of each section with their rank, and how many of it are hidden; no limit, or none above 0, shows all.
+
+    Sections are counted by an aggregate and, as they are few, joined by a broadcast.
+    The rank is filtered by the largest limit first, so each task keeps that many rows
+    of a section before the shuffle; a section that shows all is never ranked in part.
+    """
     limit = case_of(F.col(section), limits, F.lit(default).cast("int"))
-    w = Window.partitionBy(section)
-    out = ranked.withColumn("rank", F.row_number().over(w.orderBy(*order))).withColumn("__n", F.count("*").over(w)).withColumn("__limit", limit)
-    shown = F.coalesce("__limit", "__n")
-    out = out.filter(F.col("rank") <= F.when(shown <= 0, F.col("__n")).otherwise(shown))
-    return out.withColumn("hidden", F.when((F.col("__limit") > 0) & (F.col("__n") > F.col("__limit")), F.col("__n") - F.col("__limit")).otherwise(0)).drop("__n", "__limit")
+    limit = F.when(limit > 0, limit)
+    counted = ranked.groupBy(section).agg(F.count("*").alias("__n")).withColumn("__limit", limit)
+    shown = ranked.withColumn("__open", limit.isNull())
+    w = Window.partitionBy(section).orderBy(*order)
+    most = max([x for x in [*limits.values(), default or 0] if x and x > 0], default=1)
+    short = shown.filter(~F.col("__open")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
+    whole = shown.filter("__open").withColumn("rank", F.row_number().over(w))
+    out = short.unionByName(whole).drop("__open").join(F.broadcast(counted), section)  # a row for each section
+    out = out.filter(F.col("__limit").isNull() | (F.col("rank") <= F.col("__limit")))
+    return out.withColumn("hidden", F.greatest(F.col("__n") - F.coalesce("__limit", "__n"), F.lit(0))).drop("__n", "__limit")

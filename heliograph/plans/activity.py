@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.functions.numbers import round_floor
+from heliograph.functions.numbers import numeric_int, round_floor
 from heliograph.functions.times import activity_date, half_open, instant, report_window, spine
 from heliograph.operators import changes, ingest, trends
+from heliograph.storage import shared_dir
+from heliograph.streaming import loads
 
 END = "2024-01-31 00:00:00"
 LAST_DAY = "2024-01-31"
@@ -113,12 +117,13 @@ REPORT_WINDOW = "SELECT event_id, user_id, event_type FROM events WHERE ts >= TI
 
 
 def idempotent_append(spark, d):
+    """What a second load adds to a first one: overlapping types, and rows that the load itself repeats."""
     e = _t(spark, d, "events")
-    known, batch = e.filter("event_id % 2 = 0"), e.filter("event_id % 3 = 0").unionByName(e.filter("event_id % 9 = 0"))
+    known, batch = e.filter("event_type in ('view', 'click')"), e.filter("value > 20").unionByName(e.filter("value > 60"))
     return ingest.new_rows(batch, known, "event_id", [F.asc("ts")]).select("event_id", "user_id", "event_type")
 
 
-APPEND = "SELECT event_id, user_id, event_type FROM events WHERE event_id % 3 = 0 AND event_id % 2 <> 0"
+APPEND = "SELECT event_id, user_id, event_type FROM events WHERE value > 20 AND event_type NOT IN ('view', 'click')"
 
 
 def snapshot_changes(spark, d):
@@ -136,25 +141,28 @@ SELECT event_id, user_id, CAST(version AS INTEGER) AS version, floor((value - co
 
 
 def json_props(spark, d):
-    p = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
-    return _t(spark, d, "events").groupBy(p.alias("k")).agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+    return _t(spark, d, "events").groupBy(numeric_int(F.col("props"), "$.k").alias("k")).agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 
-JSON_PROPS = "SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1"
+JSON_PROPS = "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1"
 
 
 def tumbling_window_counts(spark, d):
-    e = _t(spark, d, "events").withColumn("ts", instant(F.col("ts")))
-    out = e.groupBy(F.window("ts", "1 day", "1 day", "23 hours").alias("w"), "event_type").agg(F.count("*").alias("n"))
-    return out.select(F.to_date(F.from_utc_timestamp("w.end", "Asia/Tokyo")).alias("day"), "event_type", "n")
+    out = loads.daily_counts(_t(spark, d, "events").withColumn("ts", instant(F.col("ts"))), "ts", "event_type")
+    return out.select(F.to_date(F.from_utc_timestamp("window.end", "Asia/Tokyo")).alias("day"), "event_type", "n")
 
 
 TUMBLING = f"SELECT {_DAY} AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"
 
 
 def watermark_dedupe(spark, d):
-    e = _t(spark, d, "events")
-    return e.unionByName(e.filter("event_id % 5 = 0")).dropDuplicates(["event_id"]).groupBy("event_type").agg(F.count("*").alias("n"))
+    """A stream over the table's files in which rows come twice, deduplicated within a watermark and written out."""
+    whole = spark.readStream.schema(_t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    again = whole.unionByName(whole.filter("value > 50")).withColumn("ts", instant(F.col("ts")))
+    to = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    stream = loads.once_by_id(again, "event_id", "ts", "60 days").select("event_id", "event_type")
+    stream.writeStream.format("parquet").option("path", f"{to}/rows").option("checkpointLocation", f"{to}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("event_id long, event_type string").parquet(f"{to}/rows").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 DEDUPE = "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1"

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heliograph.functions.numbers import clamp, round_floor
+from heliograph.functions.numbers import round_floor
 from heliograph.functions.times import instant
-from heliograph.operators import ingest, ranking
+from heliograph.operators import archive, ingest, linking, ranking
 
 _END = "1998-08-02 00:00:00"
 
@@ -16,26 +16,74 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _signals(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as ranked items: the segment stands for the source, the status for the action."""
+#: What stands for a source, a kind, a venue and an action in the tables at hand.
+SOURCE = {"AUTOMOBILE": "github", "BUILDING": "arxiv", "FURNITURE": "openreview", "MACHINERY": "cvf", "HOUSEHOLD": "huggingface"}
+KIND = {"1": "release", "2": "repository", "3": "paper", "4": "article"}
+VENUE = {"1": "core", "2": "secondary"}
+
+
+def _named(column, names: dict[str, str], otherwise: str | None = None):
+    out = F.lit(otherwise).cast("string")
+    for k, v in names.items():
+        out = F.when(column == k, F.lit(v)).otherwise(out)
+    return out
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as items: the segment stands for the source, the priority for the kind, the status for the action."""
     o = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    first = F.substring("o_orderpriority", 1, 1)
+    action = F.when(F.col("o_orderstatus") == "P", "status_changed").when((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") < 150000), "created").when((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000), "released")
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice", "c_mktsegment", _named(F.col("c_mktsegment"), SOURCE).alias("source"), _named(first, KIND, "event").alias("kind"), _named(first, VENUE).alias("venue"),
+        action.alias("action"), F.when(F.col("o_totalprice") > 100000, "accepted").otherwise("rejected").alias("status"), (F.col("c_mktsegment") == "BUILDING").alias("discovered"), (F.col("o_totalprice") > 400000).alias("watched"),
+    )
+
+
+def _signals(spark: SparkSession, d: str) -> DataFrame:
     end = F.lit(_END).cast("timestamp")
-    fresh = ranking.freshness(instant(F.col("o_orderdate")), end, 24.0 * 90, round_floor)
-    prio = clamp(F.greatest(ranking.case_of(F.col("c_mktsegment"), SEGMENT, 0.0), F.col("o_totalprice") / 500000.0))
-    nov = ranking.case_of(F.col("o_orderstatus"), STATUS, ranking.case_of(F.substring("o_orderpriority", 1, 1), URGENT, 0.0))
-    return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice", "c_mktsegment", round_floor(prio, 4).alias("priority"), fresh.alias("freshness"), nov.alias("novelty"))
+    price = F.col("o_totalprice")
+    topics = F.when(F.col("o_orderstatus") == "F", F.array().cast("array<string>")).otherwise(F.array("source"))
+    return _items(spark, d).select(
+        "*", round_floor(ranking.priority(price / 500000.0, F.col("source"), F.col("venue")), 4).alias("priority"), round_floor(ranking.relevance(F.when(price > 50000, price / 600000.0), topics), 4).alias("relevance"),
+        ranking.freshness(instant(F.col("o_orderdate")), end, 24.0 * 90, round_floor).alias("freshness"), ranking.novelty(F.col("kind"), F.col("action")).alias("novelty"),
+        round_floor(ranking.popularity(F.floor(price / 5000) - 10), 4).alias("popularity"),
+    )
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    s = _signals(spark, d)
+    return s.withColumn("total", ranking.total({k: F.col(k) for k in ranking.Ranking().weights}, round_to=round_floor))
+
+
+_HOW = ranking.Ranking()
+_CASE = lambda c, v, e: f"CASE {c} " + " ".join(f"WHEN '{k}' THEN {repr(x) if isinstance(x, str) else f'{x}::DOUBLE'}" for k, x in v.items()) + f" ELSE {e} END"
+_R4 = lambda x: f"floor(({x}) * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE"
+_ITEMS = f"""
+i AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_totalprice, c_mktsegment, {_CASE('c_mktsegment', SOURCE, 'NULL')} AS source, {_CASE('o_orderpriority[1:1]', KIND, "'event'")} AS kind, {_CASE('o_orderpriority[1:1]', VENUE, 'NULL')} AS venue,
+  CASE WHEN o_orderstatus = 'P' THEN 'status_changed' WHEN o_orderstatus = 'O' AND o_totalprice < 150000 THEN 'created' WHEN o_orderstatus = 'F' AND o_totalprice > 250000 THEN 'released' END AS action,
+  o_totalprice > 100000 AS accepted, c_mktsegment = 'BUILDING' AS discovered, o_totalprice > 400000 AS watched FROM orders JOIN customer ON o_custkey = c_custkey)"""
+_SQL = f"""{_ITEMS},
+s AS (SELECT *, {_R4(f"least(greatest(o_totalprice / 500000::DOUBLE, {_CASE('source', _HOW.source_priority, '0::DOUBLE')}, {_CASE('venue', _HOW.venue_priority, '0::DOUBLE')}, 0::DOUBLE), 1::DOUBLE)")} AS priority,
+  {_R4("least(CASE WHEN o_totalprice > 50000 THEN o_totalprice / 600000::DOUBLE WHEN o_orderstatus = 'F' THEN 0::DOUBLE ELSE 0.55::DOUBLE END, 1::DOUBLE)")} AS relevance,
+  {_R4(f"pow(0.5::DOUBLE, greatest((epoch_us(TIMESTAMP '{_END}') - epoch_us(o_orderdate)) / 3.6e9::DOUBLE, 0::DOUBLE) / 2160::DOUBLE)")} AS freshness,
+  coalesce({_CASE('action', _HOW.action_novelty, 'NULL')}, {_CASE('kind', _HOW.novelty, '0::DOUBLE')}) AS novelty,
+  {_R4("CASE WHEN o_totalprice // 5000 > 10 THEN least(ln(1 + (floor(o_totalprice / 5000) - 10)) / ln(101::DOUBLE), 1::DOUBLE) ELSE 0::DOUBLE END")} AS popularity FROM i)"""
+
 
+def _compensated(terms: list[str]) -> str:
+    """CTEs that add terms up as doubles and carry what each addition loses."""
+    out = ["t0 AS (SELECT *, 0::DOUBLE AS _s, 0::DOUBLE AS _k FROM s)"]
+    for n, x in enumerate(terms, 1):
+        out.append(f"t{n} AS (SELECT * EXCLUDE (_s, _k), _s + ({x}) AS _s, _k + CASE WHEN abs(_s) >= abs({x}) THEN (_s - (_s + ({x}))) + ({x}) ELSE (({x}) - (_s + ({x}))) + _s END AS _k FROM t{n - 1})")
+    return ",\n".join(out)
 
-SEGMENT = {"AUTOMOBILE": 0.1, "BUILDING": 0.2, "FURNITURE": 0.25, "MACHINERY": 0.3, "HOUSEHOLD": 0.15}
-STATUS = {"O": 1.0, "P": 0.95}
-URGENT = {"1": 0.9, "2": 0.75, "3": 0.55}
-_CASE = lambda c, v, e: f"CASE {c} " + " ".join(f"WHEN '{k}' THEN {x}::DOUBLE" for k, x in v.items()) + f" ELSE {e} END"
-_SQL = f"""
-s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate, o_totalprice, c_mktsegment,
-  floor(least(greatest({_CASE('c_mktsegment', SEGMENT, '0::DOUBLE')}, o_totalprice / 500000::DOUBLE, 0::DOUBLE), 1::DOUBLE) * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE AS priority,
-  floor(pow(0.5::DOUBLE, greatest((epoch_us(TIMESTAMP '{_END}') - epoch_us(o_orderdate)) / 3.6e9::DOUBLE, 0::DOUBLE) / 2160::DOUBLE) * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE AS freshness,
-  {_CASE('o_orderstatus', STATUS, _CASE('o_orderpriority[1:1]', URGENT, '0::DOUBLE'))} AS novelty
-  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+_SCORED = f"""{_SQL},
+{_compensated([f'{k} * {w}::DOUBLE' for k, w in _HOW.weights.items()])},
+t AS (SELECT *, {_R4(f"(_s + _k) / {sum(_HOW.weights.values())!r}::DOUBLE")} AS total FROM t{len(_HOW.weights)})"""
+_LABEL = """CASE WHEN action = 'status_changed' AND accepted THEN 'ACCEPTED' WHEN kind = 'release' OR action = 'released' THEN 'RELEASED' WHEN kind = 'repository' AND discovered THEN 'DISCOVERED'
+  WHEN action = 'created' OR (action IS NULL AND kind IN ('paper', 'article', 'project')) THEN 'NEW' ELSE 'UPDATED' END"""
 
 
 def freshness_score(spark, d):
@@ -46,25 +94,34 @@ def priority_signal(spark, d):
     return _signals(spark, d).select("o_orderkey", "priority")
 
 
-def novelty_signal(spark, d):
-    return _signals(spark, d).groupBy("o_orderstatus", "o_orderpriority").agg(F.max("novelty").alias("novelty"), F.count("*").alias("n"))
+def relevance_signal(spark, d):
+    return _signals(spark, d).select("o_orderkey", "relevance")
 
 
-_TOTAL = "floor((0.4::DOUBLE * priority + 0.3::DOUBLE * freshness + 0.3::DOUBLE * novelty) * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE"
+def novelty_signal(spark, d):
+    return _signals(spark, d).groupBy("kind", "action").agg(F.max("novelty").alias("novelty"), F.count("*").alias("n"))
 
 
-def _total(df: DataFrame) -> DataFrame:
-    return df.withColumn("total", round_floor(0.4 * F.col("priority") + 0.3 * F.col("freshness") + 0.3 * F.col("novelty"), 4))
+def research_signal(spark, d):
+    value = F.when(F.col("o_totalprice") > 80000, F.col("o_totalprice") / 300000.0)
+    return _items(spark, d).select("o_orderkey", round_floor(ranking.research(value, F.col("discovered") & (F.col("kind") == "repository")), 4).alias("research"))
 
 
 def weighted_total(spark, d):
-    return _total(_signals(spark, d)).select("o_orderkey", "total")
+    return _scored(spark, d).select("o_orderkey", "total")
+
+
+def _label():
+    return ranking.change_label(F.col("kind"), F.col("action"), F.col("status"), F.col("discovered"))
 
 
 def change_label(spark, d):
-    s = _signals(spark, d)
-    label = F.when(F.col("o_orderstatus") == "P", "ACCEPTED").when(F.col("o_orderpriority").startswith("1"), "RELEASED").when(F.col("o_orderstatus") == "O", "NEW").otherwise("UPDATED")
-    return s.groupBy(label.alias("label")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_order"))
+    return _items(spark, d).groupBy(_label().alias("label")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_order"))
+
+
+def section_routing(spark, d):
+    section = ranking.section_of(F.col("watched"), _label(), F.col("kind"))
+    return _items(spark, d).groupBy(section.alias("section")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_order"))
 
 
 def popularity_signal(spark, d):
@@ -73,21 +130,20 @@ def popularity_signal(spark, d):
 
 
 def digest_gate(spark, d):
-    s = _total(_signals(spark, d))
-    hidden = F.col("o_orderkey") % 11 != 0
-    ok = ranking.included(hidden, F.col("o_orderkey") % 97 == 0, F.col("c_mktsegment") == "BUILDING", F.col("novelty"), F.col("total"))
-    return s.groupBy("c_mktsegment", ok.alias("included")).agg(F.count("*").alias("n"))
+    reportable = F.col("kind") != "article"
+    ok = ranking.included(reportable, F.col("watched"), F.col("discovered"), F.col("novelty"), F.col("total"))
+    return _scored(spark, d).groupBy("c_mktsegment", ok.alias("included")).agg(F.count("*").alias("n"))
 
 
 def digest_sections_topn(spark, d):
-    s = _total(_signals(spark, d)).withColumnRenamed("o_orderkey", "id")
+    s = _scored(spark, d).withColumnRenamed("o_orderkey", "id")
     out = ranking.sections(s, "c_mktsegment", {"BUILDING": 5, "FURNITURE": 8}, ranking.digest_order(), 10)
     return out.select("id", "c_mktsegment", "total", "rank", "hidden")
 
 
 def best_per_entity(spark, d):
-    s = _total(_signals(spark, d)).withColumnRenamed("o_orderkey", "id")
-    s = s.withColumn("entity", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")))
+    s = _scored(spark, d).withColumnRenamed("o_orderkey", "id")
+    s = s.withColumn("entity", F.when(F.col("c_mktsegment") != "MACHINERY", F.col("o_custkey")))
     return ranking.best_per_entity(s, "entity", F.col("o_orderstatus") == "F", ranking.digest_order()).select("id", "entity", "total")
 
 
@@ -96,9 +152,8 @@ def latest_version_dedupe(spark, d):
 
 
 def inventory_diff(spark, d):
-    p, li = _t(spark, d, "part").select("p_partkey"), _t(spark, d, "lineitem")
-    now = li.filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
-    return ingest.inventory_changes(p.filter("p_partkey % 2 = 0"), now, "p_partkey")
+    now = _t(spark, d, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
+    return ingest.inventory_changes(_t(spark, d, "part").filter("p_size >= 20").select("p_partkey"), now, "p_partkey")
 
 
 def inventory_guard(spark, d):
@@ -112,37 +167,19 @@ def candidate_accumulation(spark, d):
     return out.select("l_partkey", F.array_join("l_returnflag_set", ",").alias("flags"), F.array_join("l_linestatus_set", ",").alias("statuses"), "late", "newest_order")
 
 
-def research_quality(spark, d):
-    """Additive score with caps: each feature adds, generic types are capped, and the score names a category."""
-    p = _t(spark, d, "part")
-    raw = F.when(F.col("p_retailprice") > 1500, 0.35).otherwise(0.1) + F.when(F.col("p_size") >= 25, 0.25).otherwise(0.0) + F.when(F.col("p_type").contains("STEEL"), 0.2).otherwise(0.0)
-    score = round_floor(F.when(F.col("p_brand").endswith("1"), F.least(raw, F.lit(0.3))).otherwise(F.least(raw, F.lit(1.0))), 4)
-    kind = F.when(score >= 0.6, "research").when(score >= 0.3, "candidate").otherwise("other")
-    return p.select("p_partkey", score.alias("score"), kind.alias("category"))
-
-
-def auto_watch(spark, d):
-    """The best suppliers by tier, balance and key, bounded."""
-    s = _t(spark, d, "supplier")
-    tier = F.when(F.col("s_acctbal") >= 8000, 3).when(F.col("s_acctbal") >= 4000, 2).when(F.col("s_acctbal") >= 0, 1).otherwise(0)
-    s = s.withColumn("tier", tier).filter("tier > 0")
-    return s.orderBy(F.desc("tier"), F.desc("s_acctbal"), "s_suppkey").limit(25).select("s_suppkey", "tier", "s_nationkey")
-
-
 def topic_subset_filter(spark, d):
     o = _t(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("topics"))
-    need = F.array(F.lit("1-URGENT"), F.lit("5-LOW"))
-    return o.filter(F.size(F.array_except(need, "topics")) == 0).select("o_custkey", F.size("topics").cast("long").alias("n_topics"))
+    return o.filter(archive.filters(topics=["1-URGENT", "5-LOW"], include_hidden=True)).select("o_custkey", F.size("topics").cast("long").alias("n_topics"))
 
 
 def name_containment_join(spark, d):
-    """Names whose words all are in a part's name: relational division by counting."""
-    p = _t(spark, d, "part")
-    words = p.select("p_partkey", F.explode(F.array_distinct(F.split(F.lower("p_name"), " "))).alias("w"))
-    names = spark.createDataFrame([("a", "small ring"), ("b", "widget"), ("c", "bolt blue"), ("d", "red")], "name_id string, name string")
-    need = names.select("name_id", F.explode(F.array_distinct(F.split("name", " "))).alias("w"), F.size(F.array_distinct(F.split("name", " "))).alias("need"))
-    hits = words.join(F.broadcast(need), "w").groupBy("p_partkey", "name_id", "need").agg(F.count("*").alias("got")).filter("got = need")  # four names
-    return hits.select("p_partkey", "name_id")
+    """Names whose words all are in a part's name."""
+    names = [("repo:a", "Small-Ring"), ("repo:b", "widget"), ("repo:c", "bolt_blue"), ("repo:d", "red")]
+    repositories = spark.createDataFrame([(i, n, ["x"]) for i, n in names], "id string, name string, topics array<string>")
+    papers = _t(spark, d, "part").select(F.concat(F.lit("part:"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("title"), F.array("p_brand").alias("topics"))
+    linked = spark.createDataFrame([], "left string, right string")
+    out = linking.repository_edges(repositories, papers, linked, linking.Linking(require_topics=False))
+    return out.filter("kind = 'repository_name'").select("left", "right", "value")
 
 
 def running_hidden(spark, d):
@@ -154,31 +191,31 @@ def running_hidden(spark, d):
 ALL = {
     "freshness_score": (freshness_score, f"WITH {_SQL} SELECT o_orderkey, freshness FROM s"),
     "priority_signal": (priority_signal, f"WITH {_SQL} SELECT o_orderkey, priority FROM s"),
-    "novelty_signal": (novelty_signal, f"WITH {_SQL} SELECT o_orderstatus, o_orderpriority, max(novelty) AS novelty, count(*) AS n FROM s GROUP BY 1, 2"),
-    "weighted_total": (weighted_total, f"WITH {_SQL} SELECT o_orderkey, {_TOTAL} AS total FROM s"),
-    "change_label": (change_label, "SELECT CASE WHEN o_orderstatus = 'P' THEN 'ACCEPTED' WHEN o_orderpriority LIKE '1%' THEN 'RELEASED' WHEN o_orderstatus = 'O' THEN 'NEW' ELSE 'UPDATED' END AS label, count(*) AS n, min(o_orderkey) AS first_order FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"),
+    "novelty_signal": (novelty_signal, f"WITH {_SQL} SELECT kind, action, max(novelty) AS novelty, count(*) AS n FROM s GROUP BY 1, 2"),
+    "weighted_total": (weighted_total, f"WITH {_SCORED} SELECT o_orderkey, total FROM t"),
+    "relevance_signal": (relevance_signal, f"WITH {_SQL} SELECT o_orderkey, relevance FROM s"),
+    "research_signal": (research_signal, f"""WITH {_ITEMS} SELECT o_orderkey, {_R4("CASE WHEN discovered AND kind = 'repository' THEN least(CASE WHEN o_totalprice > 80000 THEN o_totalprice / 300000::DOUBLE ELSE 0::DOUBLE END, 1::DOUBLE) ELSE 1::DOUBLE END")} AS research FROM i"""),
+    "section_routing": (section_routing, f"""WITH {_ITEMS} SELECT CASE WHEN watched THEN 'priority_watch' WHEN {_LABEL} = 'ACCEPTED' THEN 'accepted_papers' WHEN kind = 'paper' THEN 'new_papers' WHEN kind = 'repository' THEN 'new_repositories'
+  WHEN kind = 'article' THEN 'research_announcements' ELSE 'project_updates' END AS section, count(*) AS n, min(o_orderkey) AS first_order FROM i GROUP BY 1"""),
+    "change_label": (change_label, f"WITH {_ITEMS} SELECT {_LABEL} AS label, count(*) AS n, min(o_orderkey) AS first_order FROM i GROUP BY 1"),
     "popularity_signal": (popularity_signal, "SELECT l_partkey, floor(least(ln(1 + count(*)::DOUBLE) / ln(101::DOUBLE), 1::DOUBLE) * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE AS popularity FROM lineitem GROUP BY 1"),
-    "digest_gate": (digest_gate, f"""WITH {_SQL}, t AS (SELECT *, {_TOTAL} AS total FROM s)
-SELECT c_mktsegment, CASE WHEN o_orderkey % 11 = 0 THEN FALSE WHEN o_orderkey % 97 = 0 THEN TRUE WHEN c_mktsegment = 'BUILDING' AND novelty < 0.4::DOUBLE THEN FALSE ELSE total >= 0.35::DOUBLE END AS included, count(*) AS n FROM t GROUP BY 1, 2"""),
-    "digest_sections_topn": (digest_sections_topn, f"""WITH {_SQL}, t AS (SELECT *, {_TOTAL} AS total FROM s),
+    "digest_gate": (digest_gate, f"""WITH {_SCORED}
+SELECT c_mktsegment, CASE WHEN kind = 'article' THEN FALSE WHEN watched THEN TRUE WHEN discovered AND novelty < 0.4::DOUBLE THEN FALSE ELSE total >= 0.35::DOUBLE END AS included, count(*) AS n FROM t GROUP BY 1, 2"""),
+    "digest_sections_topn": (digest_sections_topn, f"""WITH {_SCORED},
 r AS (SELECT o_orderkey AS id, c_mktsegment, total, CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY total DESC, freshness DESC, o_orderkey) AS INTEGER) AS rank, count(*) OVER (PARTITION BY c_mktsegment) AS n,
   CASE c_mktsegment WHEN 'BUILDING' THEN 5 WHEN 'FURNITURE' THEN 8 ELSE 10 END AS lim FROM t)
 SELECT id, c_mktsegment, total, rank, CAST(greatest(n - lim, 0) AS BIGINT) AS hidden FROM r WHERE rank <= lim"""),
-    "best_per_entity": (best_per_entity, f"""WITH {_SQL}, t AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS entity, o_orderstatus, freshness, {_TOTAL} AS total FROM s),
-r AS (SELECT *, row_number() OVER (PARTITION BY entity, o_orderstatus = 'F' ORDER BY total DESC, freshness DESC, id) AS k FROM t)
+    "best_per_entity": (best_per_entity, f"""WITH {_SCORED}, e AS (SELECT o_orderkey AS id, CASE WHEN c_mktsegment <> 'MACHINERY' THEN o_custkey END AS entity, o_orderstatus, freshness, total FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY entity, o_orderstatus = 'F' ORDER BY total DESC, freshness DESC, id) AS k FROM e)
 SELECT id, entity, total FROM r WHERE entity IS NULL OR o_orderstatus <> 'F' OR k = 1"""),
     "latest_version_dedupe": (latest_version_dedupe, "SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders) WHERE k = 1"),
-    "inventory_diff": (inventory_diff, """WITH a AS (SELECT p_partkey FROM part WHERE p_partkey % 2 = 0), b AS (SELECT DISTINCT l_partkey AS p_partkey FROM lineitem WHERE l_quantity > 45)
+    "inventory_diff": (inventory_diff, """WITH a AS (SELECT p_partkey FROM part WHERE p_size >= 20), b AS (SELECT DISTINCT l_partkey AS p_partkey FROM lineitem WHERE l_quantity > 45)
 SELECT p_partkey, 'added' AS change FROM b WHERE p_partkey NOT IN (SELECT p_partkey FROM a) UNION ALL SELECT p_partkey, 'lost' FROM a WHERE p_partkey NOT IN (SELECT p_partkey FROM b)"""),
     "inventory_guard": (inventory_guard, "SELECT p_partkey FROM part WHERE p_size >= 25"),
     "candidate_accumulation": (candidate_accumulation, """SELECT l_partkey, array_to_string(list_sort(list_distinct(list(l_returnflag))), ',') AS flags, array_to_string(list_sort(list_distinct(list(l_linestatus))), ',') AS statuses,
   bool_or(l_returnflag = 'R') AS late, (list(l_orderkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC))[1] AS newest_order FROM lineitem GROUP BY 1"""),
-    "research_quality": (research_quality, """WITH r AS (SELECT p_partkey, p_brand, (CASE WHEN p_retailprice > 1500 THEN 0.35::DOUBLE ELSE 0.1::DOUBLE END + CASE WHEN p_size >= 25 THEN 0.25::DOUBLE ELSE 0::DOUBLE END) + CASE WHEN contains(p_type, 'STEEL') THEN 0.2::DOUBLE ELSE 0::DOUBLE END AS raw FROM part),
-q AS (SELECT p_partkey, floor(CASE WHEN p_brand LIKE '%1' THEN least(raw, 0.3::DOUBLE) ELSE least(raw, 1::DOUBLE) END * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE AS score FROM r)
-SELECT p_partkey, score, CASE WHEN score >= 0.6::DOUBLE THEN 'research' WHEN score >= 0.3::DOUBLE THEN 'candidate' ELSE 'other' END AS category FROM q"""),
-    "auto_watch": (auto_watch, "SELECT s_suppkey, CAST(CASE WHEN s_acctbal >= 8000 THEN 3 WHEN s_acctbal >= 4000 THEN 2 ELSE 1 END AS INTEGER) AS tier, s_nationkey FROM supplier WHERE s_acctbal >= 0 ORDER BY tier DESC, s_acctbal DESC, s_suppkey LIMIT 25"),
     "topic_subset_filter": (topic_subset_filter, "SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_topics FROM orders GROUP BY 1 HAVING bool_or(o_orderpriority = '1-URGENT') AND bool_or(o_orderpriority = '5-LOW')"),
-    "name_containment_join": (name_containment_join, """WITH n(name_id, name) AS (VALUES ('a', 'small ring'), ('b', 'widget'), ('c', 'bolt blue'), ('d', 'red'))
-SELECT p_partkey, name_id FROM part, n WHERE list_has_all(string_split(lower(p_name), ' '), string_split(name, ' '))"""),
+    "name_containment_join": (name_containment_join, """WITH n(id, name) AS (VALUES ('repo:a', 'small ring'), ('repo:b', 'widget'), ('repo:c', 'bolt blue'))
+SELECT 'part:' || p_partkey AS "left", id AS "right", name AS value FROM part, n WHERE list_has_all(string_split(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), ' '), string_split(name, ' '))"""),
     "version_numbers": (running_hidden, "SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS nth, count(*) OVER (PARTITION BY o_custkey) AS of FROM orders"),
 }

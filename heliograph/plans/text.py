@@ -86,12 +86,12 @@ def tf_vector(spark, d):
 
 
 def cosine_topics(spark, d):
-    """Vectors against the mean vector of each label, the nearest two labels of each."""
-    e = _t(spark, d, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("feature", "x")).withColumn("x", F.round(F.col("x").cast("double") * 1000).cast("long"))
-    centre = e.groupBy("label", "feature").agg(F.sum("x").alias("c"))
-    dots = e.select("vec_id", "feature", "x").join(F.broadcast(centre), "feature").groupBy("vec_id", "label").agg(F.sum(F.col("x") * F.col("c")).alias("dot"))  # ten labels
-    best = dots.withColumn("rank", F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("dot"), "label")))
-    return best.filter("rank <= 2").select("vec_id", "label", "dot", "rank")
+    """Vectors against the sum of each label's vectors, in whole numbers, the nearest two labels of each."""
+    e = _t(spark, d, "embeddings").select("vec_id", F.col("label").alias("topic"), F.posexplode("embedding").alias("feature", "x")).withColumn("value", F.round(F.col("x").cast("double") * 1000).cast("long"))
+    centre = e.groupBy("topic", "feature").agg(F.sum("value").alias("value"))
+    scores = matching.cosine(e.select("vec_id", "feature", "value"), "vec_id", centre).withColumnRenamed("topic", "label")
+    best = scores.withColumn("rank", F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("similarity"), "label")))
+    return best.filter("rank <= 2").select("vec_id", "label", F.col("similarity").alias("dot"), "rank")
 
 
 COSINE = """
@@ -107,12 +107,12 @@ def eval_micro_prf(spark, d):
     """Labels against two simple predictions, as label sets."""
     j = _t(spark, d, "labels").join(_t(spark, d, "documents").select("doc_id", "n_chars", "lang"), "doc_id")
     label = lambda q, t: F.array_compact(F.array(F.when(q, "quality"), F.when(t, "toxic")))
-    cases = j.select(label(F.col("quality") == 1, F.col("toxic") == 1).alias("expected"), label(F.col("n_chars") > 500, F.col("n_chars") % 7 == 0).alias("predicted"))
+    cases = j.select(label(F.col("quality") == 1, F.col("toxic") == 1).alias("expected"), label(F.col("n_chars") > 500, F.col("n_chars") > 2000).alias("predicted"))
     return evaluation.micro_scores(cases)
 
 
 EVAL = """
-WITH c AS (SELECT quality = 1 AS eq, toxic = 1 AS et, n_chars > 500 AS pq, n_chars % 7 = 0 AS pt FROM labels JOIN documents USING (doc_id)),
+WITH c AS (SELECT quality = 1 AS eq, toxic = 1 AS et, n_chars > 500 AS pq, n_chars > 2000 AS pt FROM labels JOIN documents USING (doc_id)),
 s AS (SELECT CAST(sum((eq AND pq)::INT + (et AND pt)::INT) AS BIGINT) AS tp, CAST(sum((NOT eq AND pq)::INT + (NOT et AND pt)::INT) AS BIGINT) AS fp, CAST(sum((eq AND NOT pq)::INT + (et AND NOT pt)::INT) AS BIGINT) AS fn,
   avg(CASE WHEN eq = pq AND et = pt THEN 1::DOUBLE ELSE 0::DOUBLE END) AS ex FROM c),
 r AS (SELECT *, tp::DOUBLE / (tp + fp) AS p, tp::DOUBLE / (tp + fn) AS q FROM s)
@@ -139,10 +139,18 @@ def adjacency_lists(spark, d):
 
 
 def connected_components(spark, d):
-    """Copies chained by neighbours in order, so that components are long paths."""
-    t = _t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
-    chain = t.withColumn("left", F.lag("doc_id").over(Window.partitionBy("h").orderBy("doc_id"))).filter("left is not null").select("left", F.col("doc_id").alias("right"))
-    return linking.components(chain)
+    """Copies of a text, and texts that begin alike: links to the first of each group, so a large group gives as many as it has members."""
+    t = _t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("whole"), F.sha2(F.substring("text", 1, 12), 256).alias("start"))
+    links = None
+    for key in ("whole", "start"):
+        first = t.groupBy(key).agg(F.min("doc_id").alias("left"), F.count("*").alias("n")).filter("n > 1")
+        found = t.join(first, key).filter("doc_id <> left").select("left", F.col("doc_id").alias("right"))
+        links = found if links is None else links.unionByName(found)
+    return linking.components(links)
+
+
+#: Texts that are equal begin alike, so these groups are the components.
+COMPONENTS = "SELECT doc_id AS node, min(doc_id) OVER (PARTITION BY text[1:12]) AS component FROM documents QUALIFY count(*) OVER (PARTITION BY text[1:12]) > 1"
 
 
 def entity_ids(spark, d):
@@ -165,8 +173,9 @@ _CANON = """
 c0 AS (SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') AS host, regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/+', '/', 'g') AS path,
   regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) AS q FROM pages),
 c1 AS (SELECT page_id, host, CASE WHEN path IN ('', '/') THEN '/' ELSE rtrim(path, '/') END AS path,
-  list_sort(list_filter(string_split(q, '&'), lambda p: p <> '' AND NOT starts_with(lower(p), 'utm_') AND split_part(lower(p), '=', 1) NOT IN ('ref', 'source'))) AS ps FROM c0),
-canon AS (SELECT page_id, 'https://' || host || path || CASE WHEN len(ps) > 0 THEN '?' || array_to_string(ps, '&') ELSE '' END AS canonical FROM c1)"""
+  list_sort(list_filter(list_transform(list_filter(string_split(q, '&'), lambda p: p <> ''), lambda p: [url_decode(replace(split_part(p, '=', 1), '+', ' ')), url_decode(replace(CASE WHEN contains(p, '=') THEN p[instr(p, '=') + 1:] ELSE '' END, '+', ' '))]),
+    lambda p: NOT starts_with(lower(p[1]), 'utm_') AND lower(p[1]) NOT IN ('ref', 'source'))) AS ps FROM c0),
+canon AS (SELECT page_id, 'https://' || host || path || CASE WHEN len(ps) > 0 THEN '?' || array_to_string(list_transform(ps, lambda p: replace(url_encode(p[1]), '%20', '+') || '=' || replace(url_encode(p[2]), '%20', '+')), '&') ELSE '' END AS canonical FROM c1)"""
 
 
 def canonical_url(spark, d):
@@ -174,24 +183,29 @@ def canonical_url(spark, d):
 
 
 def extract_links(spark, d):
-    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return _t(spark, d, "pages").select(F.explode(links).alias("link")).groupBy("link").agg(F.count("*").alias("n"))
+    """Urls in running text, with and without marks around them."""
+    said = F.concat(F.lit("see "), F.col("url"), F.lit(", or ("), F.col("url"), F.lit(")! <"), F.col("url"), F.lit("/x>"))
+    return _t(spark, d, "pages").select(F.explode(urls.extract_urls(said)).alias("link")).groupBy("link").agg(F.count("*").alias("n"))
 
 
 def url_identifiers(spark, d):
-    p = _t(spark, d, "pages")
-    return p.groupBy(urls.host_of(F.col("url")).alias("host"), F.regexp_extract("url", r"/([a-z]{2})/", 1).alias("lang")).agg(F.count("*").alias("n"), F.max(F.regexp_extract("url", r"/(\d+)", 1).cast("long")).alias("top"))
+    n = F.col("page_id").cast("string")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    return _t(spark, d, "pages").select(
+        "page_id", urls.github_repository(text("https://www.GitHub.com/Org", n, "/Repo.git/tree/main?x=1")).alias("github"), urls.arxiv_identifier(text("see arXiv: 2401.", F.lpad(n, 5, "0"), "v2 and")).alias("arxiv"),
+        urls.openreview_identifier(text("https://openreview.net/forum?id=Ab", n, "&x=1")).alias("openreview"), urls.doi_identifier(text("(doi:10.1234/AB.", n, ").")).alias("doi"), urls.host_of(F.col("url")).alias("host"),
+    )
 
 
 def archive_search(spark, d):
-    docs = _t(spark, d, "documents").withColumn("topics", F.array("lang", "source")).withColumn("reportable", F.col("doc_id") % 10 != 0)
+    docs = _t(spark, d, "documents").withColumn("topics", F.array("lang", "source")).withColumn("reportable", F.col("n_chars") >= 200)
     kept = docs.filter(archive.filters(topics=["en"], columns={"source": "source"}))
     head = F.substring_index("text", "\n", 1)
     return archive.search(kept, "the and", 20, head, F.col("source"), F.col("text"), "n_chars", "doc_id").select("doc_id", "score", "n_chars")
 
 
 SEARCH = """
-WITH f AS (SELECT doc_id, n_chars, lower(split_part(text, chr(10), 1)) AS h, lower(source) AS x, lower(text) AS t FROM documents WHERE lang = 'en' AND doc_id % 10 <> 0),
+WITH f AS (SELECT doc_id, n_chars, lower(split_part(text, chr(10), 1)) AS h, lower(source) AS x, lower(text) AS t FROM documents WHERE lang = 'en' AND n_chars >= 200),
 s AS (SELECT doc_id, n_chars, h, CASE WHEN contains(h, 'the') THEN 10 WHEN contains(x, 'the') THEN 5 WHEN contains(t, 'the') THEN 3 ELSE 0 END AS a, CASE WHEN contains(h, 'and') THEN 10 WHEN contains(x, 'and') THEN 5 WHEN contains(t, 'and') THEN 3 ELSE 0 END AS b FROM f)
 SELECT doc_id, CAST(a + b + CASE WHEN contains(h, 'the and') THEN 30 ELSE 0 END AS INTEGER) AS score, n_chars FROM s WHERE a > 0 AND b > 0 ORDER BY score DESC, n_chars DESC, doc_id LIMIT 20"""
 
@@ -215,12 +229,13 @@ ALL = {
     "eval_micro_prf": (eval_micro_prf, EVAL),
     "exact_dup_edges": (exact_dup_edges, f"WITH {_COPIES} SELECT l AS left, r AS right FROM e"),
     "adjacency_lists": (adjacency_lists, f"WITH {_COPIES}, b AS (SELECT l AS id, r AS o FROM e UNION ALL SELECT r, l FROM e) SELECT id, string_agg(CAST(o AS VARCHAR), ',' ORDER BY o) AS related FROM b GROUP BY id"),
-    "connected_components": (connected_components, f"WITH {_COPIES} SELECT l AS node, l AS component FROM e UNION SELECT r, l FROM e"),
+    "connected_components": (connected_components, COMPONENTS),
     "entity_ids": (entity_ids, ENTITY),
     "shared_identifier_edges": (shared_identifier_edges, f"WITH {_CANON} SELECT a.page_id AS a, b.page_id AS b FROM canon a JOIN canon b ON a.canonical = b.canonical AND a.page_id < b.page_id"),
     "canonical_url": (canonical_url, f"WITH {_CANON} SELECT page_id, canonical FROM canon"),
-    "extract_links": (extract_links, "SELECT link, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS link FROM pages) GROUP BY 1"),
-    "url_identifiers": (url_identifiers, "SELECT regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') AS host, regexp_extract(url, '/([a-z]{2})/', 1) AS lang, count(*) AS n, max(CAST(nullif(regexp_extract(url, '/(\\d+)', 1), '') AS BIGINT)) AS top FROM pages GROUP BY 1, 2"),
+    "extract_links": (extract_links, "SELECT link, count(*) AS n FROM (SELECT unnest([rtrim(url, '.,;:!?)]'), rtrim(url, '.,;:!?)]'), rtrim(url || '/x', '.,;:!?)]')]) AS link FROM pages) GROUP BY 1"),
+    "url_identifiers": (url_identifiers, """SELECT page_id, 'github:org' || page_id || '/repo' AS github, 'arxiv:2401.' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS arxiv, 'openreview:Ab' || page_id AS openreview, 'doi:10.1234/ab.' || page_id AS doi,
+  regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') AS host FROM pages"""),
     "archive_search": (archive_search, SEARCH),
     "fuzzy_title_edges": (fuzzy_title_edges, None),
 }
