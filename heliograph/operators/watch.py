@@ -118,9 +118,9 @@ def commit_items(rows: DataFrame) -> DataFrame:
 
 def revisions(listed: DataFrame, known: DataFrame, key: str = "id", version: str = "last_modified") -> DataFrame:
     """``listed`` with action: discovered or updated; records whose version is the known one are left out."""
-    before = known.select(F.col(key), F.col(version).alias("__known"))
+    before = known.select(F.col(key), F.struct(F.col(version).alias("v")).alias("__known"))
     out = listed.join(before, key, "left").withColumn("action", F.when(F.col("__known").isNull(), "discovered").otherwise("updated"))
-    return out.filter(~F.col("__known").eqNullSafe(F.col(version))).drop("__known")
+    return out.filter(F.col("__known").isNull() | ~F.col("__known")["v"].eqNullSafe(F.col(version))).drop("__known")
 
 
 def created_since(listed: DataFrame, checked: DataFrame, account: str = "account", created: str = "created_at") -> DataFrame:
