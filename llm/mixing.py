@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.frames import cut, table
@@ -18,13 +18,15 @@ from llm.frames import cut, table
 
 @dataclass(frozen=True)
 class Mixture:
-    target_entropy: float = 0.98  # of the weights, as a share of the most that so many sources can have
+    target_entropy: float = 0.95  # of the weights, as a share of the most that so many sources can have
     most_repeats: float = 4.0  # passes over a source
     budget: float = 1.0  # tokens of the mixture, as a multiple of all sources' tokens
+    most_exponent: float = 8.0
     blocks: int = 128  # of each source, and of each block that the budget cuts
     seed: int = 7
     grid: int = 64  # exponents tried at once; each round of the bisection is that much finer
     rounds: int = 4
+    broadcast_sources: int = 5_000  # block tables of so many sources (some 60 MB) are broadcast, larger ones joined by a shuffle
 
 
 def token_count(text: str = "text"):
@@ -33,39 +35,40 @@ def token_count(text: str = "text"):
 
 
 def exponent(sources: DataFrame, how: Mixture) -> float:
-    """The smallest exponent up to 1 whose weights meet both targets; 1 keeps the sources' own shares.
+    """The exponent between 0 and ``most_exponent`` whose weights have the target entropy, or the nearest to it that no source repeats too often with.
 
-    ``sources``: source, tokens.  A smaller exponent is more even, so entropy falls and
-    repeats of small sources fall as it grows: entropy asks for at most one bound,
-    repeats for at least another.  Where they conflict the limit on repeats wins.
-    Each round tries ``grid`` exponents by one aggregation, between the two that the
+    ``sources``: source, tokens.  Entropy falls as the exponent grows.  At 1 every
+    source is taken as often; below 1 small sources repeat most, above 1 large ones do,
+    so the exponents that keep the limit on repeats are a stretch around 1.  Where
+    entropy asks for one outside, the stretch's end is taken.  Each round tries ``grid``
+    exponents for each of the three bounds by one aggregation, between the two that the
     round before found.
     """
     some = sources.filter("tokens > 0")
     whole = some.agg(F.sum("tokens").alias("all"), F.count("*").alias("n"))
     shares = some.join(F.broadcast(whole), F.lit(True)).select(F.log(F.col("tokens") / F.col("all")).alias("lp"), "n")  # one row is broadcast
-    low, high = {"entropy": 0.0, "repeats": 0.0}, {"entropy": 1.0, "repeats": 1.0}
+    limit = max(how.most_repeats, how.budget) * (1 + 1e-12)
+    bounds = {"entropy": (0.0, how.most_exponent), "least": (0.0, 1.0), "most": (1.0, how.most_exponent)}
     for _ in range(how.rounds):
-        tried = [(k, low[k] + (high[k] - low[k]) * i / how.grid) for k in low for i in range(how.grid + 1)]
-        points = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(a).alias("a")) for k, a in tried])).alias("p")
-        z = shares.select("lp", "n", points).select("lp", "n", "p.k", "p.a").groupBy("k", "a").agg(
+        tried = [(k, low + (high - low) * i / how.grid) for k, (low, high) in bounds.items() for i in range(how.grid + 1)]
+        points = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a")) for i, (_, a) in enumerate(tried)])).alias("p")
+        z = shares.select("lp", "n", points).select("lp", "n", "p.i", "p.a").groupBy("i", "a").agg(
             F.sum(F.exp(F.col("a") * F.col("lp"))).alias("z"), F.sum(F.exp(F.col("a") * F.col("lp")) * F.col("a") * F.col("lp")).alias("s"), F.max("n").alias("n"), F.max((F.col("a") - 1) * F.col("lp")).alias("m")
         )
         entropy = F.log("z") - F.col("s") / F.col("z")
         repeats = how.budget * F.exp(F.col("m")) / F.col("z")  # of the source that repeats most
-        good = F.when(F.col("k") == "entropy", entropy >= how.target_entropy * F.log("n") - 1e-12).otherwise(repeats <= max(how.most_repeats, how.budget) + 1e-12)
-        found = {(r.k, round(r.a, 15)): r.good for r in z.select("k", "a", good.alias("good")).collect()}  # 2 * (grid + 1) rows
+        found = {r.i: r for r in z.select("i", (entropy >= how.target_entropy * F.log("n") - 1e-12).alias("even"), (repeats <= limit).alias("few")).collect()}  # 3 * (grid + 1) rows
         if not found:
             return 1.0
-        for k in low:
-            step = [(a, found[k, round(a, 15)]) for kind, a in tried if kind == k]
-            if k == "entropy":  # good up to some exponent
-                last = max((i for i, (_, g) in enumerate(step) if g), default=0)
-                low[k], high[k] = step[last][0], step[min(last + 1, how.grid)][0]
-            else:  # good from some exponent on
-                first = min((i for i, (_, g) in enumerate(step) if g), default=how.grid)
-                low[k], high[k] = step[max(first - 1, 0)][0], step[first][0]
-    return max(low["entropy"], high["repeats"])
+        for k in bounds:
+            mine = [(a, found[i].even if k == "entropy" else found[i].few) for i, (kind, a) in enumerate(tried) if kind == k]
+            if k == "least":  # holds from some exponent on
+                first = min((i for i, (_, holds) in enumerate(mine) if holds), default=how.grid)
+                bounds[k] = (mine[max(first - 1, 0)][0], mine[first][0])
+            else:  # holds up to some exponent
+                last = max((i for i, (_, holds) in enumerate(mine) if holds), default=0)
+                bounds[k] = (mine[last][0], mine[min(last + 1, how.grid)][0])
+    return min(max(bounds["entropy"][0], bounds["least"][1]), bounds["most"][0])
 
 
 def weights(sources: DataFrame, how: Mixture) -> DataFrame:
@@ -82,65 +85,80 @@ def _block(how: Mixture, level: int):
     return F.pmod(F.xxhash64(F.lit(how.seed + level), "doc_id", "source", "tokens"), F.lit(how.blocks))
 
 
-def copies(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
-    """doc_id, source, tokens, copies for each row of ``docs`` (doc_id, source, tokens): how often the mixture has it.
+def planned(docs: DataFrame, how: Mixture = Mixture()) -> tuple[DataFrame, DataFrame]:
+    """What the mixture takes of each block and, of the blocks that the budget cuts, of each part.
 
-    A source's budget gives a number of whole passes and a rest.  The rest is taken
-    from a permutation of the source's blocks: whole blocks while they fit, then, of
-    the first that doesn't, whole parts while they fit.  So at most a part of a block
+    First source, block, copies, cut, places; then source, block, part.  ``docs``:
+    source, tokens, block, part.  A source's budget gives a number of whole passes and
+    a rest.  Each pass goes through the source's blocks in a permutation of its own:
+    ``places`` has a block's place in each pass, the one of the rest last.  The rest
+    takes whole blocks in order while they fit, then, of the first that doesn't, whole
+    parts in an order of their own while they fit.  So at most a part of a block
     (1 / blocks**2 of the source, about) is left over, and no window is longer than
-    ``blocks`` rows, however large a source is.
+    ``blocks`` rows, however large a source is.  A source without words has no budget:
+    one pass and no rest.
     """
-    docs = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "tokens").withColumn("block", _block(how, 0)).withColumn("part", _block(how, 1))
     parts = cut(docs.groupBy("source", "block", "part").agg(F.sum("tokens").alias("tokens")))
     mixed = weights(parts.groupBy("source").agg(F.sum("tokens").alias("tokens")), how)
     mixed = mixed.withColumn("passes", F.floor(F.col("budget") / F.col("tokens"))).withColumn("rest", F.col("budget") - F.col("passes") * F.col("tokens")).select("source", "passes", "rest")
-    blocks = parts.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")).join(mixed, "source", "left").fillna({"passes": 1, "rest": -1})  # a source without words has no budget: one pass and no rest, not even of 0 tokens
-    order = lambda *by: F.xxhash64(F.lit(how.seed), "source", "passes", *by)
-    upto = Window.partitionBy("source").orderBy(order("block"), "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = blocks.withColumn("upto", F.sum("tokens").over(upto)).withColumn("room", F.col("rest") - (F.col("upto") - F.col("tokens")))
-    blocks = cut(blocks.select("source", "block", "passes", (F.col("upto") <= F.col("rest")).alias("whole"), F.when((F.col("room") > 0) & (F.col("upto") > F.col("rest")), F.col("room")).alias("room")))
-    inside = parts.join(blocks.filter("room is not null"), ["source", "block"])
+    blocks = parts.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")).join(mixed, "source", "left").fillna({"passes": 1, "rest": -1})
+    order = lambda *by: F.xxhash64(F.lit(how.seed), "source", *by)
+    each = blocks.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes"))))
+    turn = Window.partitionBy("source", "pass").orderBy(order("pass", "block"), "block")
+    upto = turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.withColumn("place", F.row_number().over(turn) - 1).withColumn("upto", F.sum("tokens").over(upto))
+    last = F.col("pass") == F.col("passes")
+    room = F.col("rest") - (F.col("upto") - F.col("tokens"))
+    blocks = each.groupBy("source", "block", "passes").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pass", "place"))), lambda x: x["place"]).alias("places"),
+        F.max(last & (F.col("upto") <= F.col("rest"))).alias("whole"), F.max(F.when(last & (room > 0) & (F.col("upto") > F.col("rest")), room)).alias("room"),
+    )
+    blocks = cut(blocks.select("source", "block", (F.col("passes") + F.col("whole").cast("long")).cast("int").alias("copies"), F.col("room").isNotNull().alias("cut"), "places", "room"))
+    inside = parts.join(blocks.filter("cut").select("source", "block", "room"), ["source", "block"])
     upto = Window.partitionBy("source", "block").orderBy(order("block", "part"), "part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("upto", F.sum("tokens").over(upto)).filter(F.col("upto") <= F.col("room")).select("source", "block", "part", F.lit(1).alias("more"))
-    plan = parts.select("source", "block", "part").join(blocks, ["source", "block"]).join(inside, ["source", "block", "part"], "left")
-    plan = cut(plan.select("source", "block", "part", (F.col("passes") + F.when(F.col("whole"), 1).otherwise(F.coalesce("more", F.lit(0)))).cast("int").alias("copies")))
-    out = docs.join(_bounded(plan), ["source", "block", "part"], "left")
-    return out.select("doc_id", "source", "tokens", F.coalesce("copies", F.lit(0)).alias("copies"))
+    inside = cut(inside.withColumn("upto", F.sum("tokens").over(upto)).filter(F.col("upto") <= F.col("room")).select("source", "block", "part"))
+    return blocks.drop("room"), inside
 
 
-def _bounded(plan: DataFrame, most: int = 400_000) -> DataFrame:
-    """A plan of up to ``most`` rows (30 MB) is broadcast; a larger one is joined by a shuffle."""
-    return F.broadcast(plan) if plan.count() <= most else plan
+def placed(docs: DataFrame, plan: tuple[DataFrame, DataFrame], how: Mixture) -> DataFrame:
+    """``docs`` (source, block, part and others) with copies and places.  Texts stay in place unless there are very many sources."""
+    blocks, inside = (F.broadcast(t) if t.count() <= how.blocks * how.broadcast_sources else t for t in plan)
+    out = docs.join(blocks, ["source", "block"]).join(inside.withColumn("more", F.lit(1)), ["source", "block", "part"], "left")
+    return out.withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0))).withColumn("places", F.slice("places", F.lit(1), F.col("copies"))).drop("more", "cut")
+
+
+def _keyed(df: DataFrame, how: Mixture, id_col: str, source_col: str, text_col: str, *more: Column) -> DataFrame:
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), token_count(text_col).alias("tokens"), *more)
+    return docs.withColumn("block", _block(how, 0)).withColumn("part", _block(how, 1))
 
 
 def mix_sources(df: DataFrame, how: Mixture = Mixture(), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """doc_id, source, tokens, copies: one row for each row of ``df``.
+    """doc_id, source, tokens, copies, block, part, places: one row for each row of ``df``.
+
+    ``copies`` is how often the mixture has the row, and ``places`` has for each of
+    them, pass by pass, the place of its block in that pass's order: reading passes in
+    turn, blocks by place, gives each source's part of the mixture.
 
     Tokens are words of the whole text.  Null texts have none and are taken once for each
-    whole pass, as they cost nothing; a source without words is taken once.  Null sources are one source, written as empty.  Rows with null
-    identifiers and repeated rows are dealt like others, repeats into the same block.
-    A table without words gets no budget: every row has one copy.  An empty table gives
-    an empty table.  Only the three named columns are read.
+    whole pass, as they cost nothing; a source without words is taken once.  Null
+    sources are one source, written as empty.  Rows with null identifiers and repeated
+    rows are dealt like others, repeats into the same block; equal shares stay equal.
+    With one source, or equal ones, no exponent changes the weights.  An empty table
+    gives an empty table.  Only the three named columns are read.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), token_count(text_col).alias("tokens"))
-    kept = cut(docs)
-    if not kept.filter("tokens > 0").limit(1).count():
-        return kept.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "tokens", F.lit(1).alias("copies"))
-    return copies(kept, how)
+    kept = cut(_keyed(df, how, id_col, source_col, text_col))
+    return placed(kept, planned(kept, how), how).select("doc_id", "source", "tokens", "copies", "block", "part", "places")
 
 
 def repeat_rows(df: DataFrame, how: Mixture = Mixture(), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, each as often as the mixture has it; all columns stay.
 
-    Texts stay in place: copies are looked up by source and block, in a table of bounded size.
+    Texts stay in place: copies are looked up by source and block, in tables of bounded size.
     """
     names = df.columns
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), token_count(text_col).alias("tokens"))
-    mixed = mix_sources(df, how, id_col, source_col, text_col)
-    plan = mixed.withColumn("block", _block(how, 0)).withColumn("part", _block(how, 1)).groupBy("source", "block", "part").agg(F.max("copies").alias("copies"))
-    placed = row.withColumn("block", _block(how, 0)).withColumn("part", _block(how, 1)).join(_bounded(cut(plan)), ["source", "block", "part"])
-    return placed.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select(*[F.col("row")[c].alias(c) for c in names])
+    plan = planned(_keyed(df, how, id_col, source_col, text_col), how)
+    rows = placed(_keyed(df, how, id_col, source_col, text_col, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")), plan, how)
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select(*[F.col("row")[c].alias(c) for c in names])
 
 
 def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
