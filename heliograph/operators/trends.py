@@ -75,8 +75,8 @@ def recurring(activity: DataFrame, least_items: int, least_days: int, limit: int
 
 
 def entity_topics(activity: DataFrame) -> DataFrame:
-    """identity, topics: the union of its items' topics; entities without any stay."""
-    return activity.groupBy("identity").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("topics", F.array().cast("array<string>")))))).alias("topics"))
+    """identity, topics: the union of its items' topics; entities without any stay.  Distinct topics are gathered, of which a taxonomy has a bounded number."""
+    return activity.select("identity", F.explode_outer("topics").alias("topic")).groupBy("identity").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
 
 
 def with_identity(items: DataFrame, entities: DataFrame) -> DataFrame:

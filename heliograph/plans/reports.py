@@ -3,21 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from heliograph.functions.text import compact, escape_markdown
 
-def digest_markdown(title: str, day: str, sections: DataFrame) -> str:
-    """``sections``: section, rank, title, url, total, hidden; limits have been applied, so rows are few."""
-    lines, last, hidden = [f"# {title} — {day}", ""], None, 0
-    for r in sections.orderBy("section", "rank").collect():
-        if r.section != last:
-            if hidden:
-                lines += [f"_{hidden} more_", ""]
-            lines += [f"## {r.section}", ""]
-            last, hidden = r.section, r.hidden
-        name = r.title.replace("[", "\\[").replace("]", "\\]")
-        lines.append(f"- [{name}]({r.url}) ({r.total:.4f})")
-    if hidden:
-        lines += [f"_{hidden} more_"]
+#: The order of sections and their headings.
+HEADINGS = {
+    "priority_watch": "Priority Watch", "accepted_papers": "Accepted Papers", "new_papers": "New Papers", "new_repositories": "Repositories", "models_and_demos": "Models & Demos",
+    "research_announcements": "Research Announcements", "project_updates": "Project Updates", "other": "Other",
+}
+
+
+def item_block(r, labels: dict[str, str] | None = None) -> list[str]:
+    """An item's lines: label and title, where it is from and what it is about, summary, resources, related records."""
+    about = [r.source]
+    if r.venue:
+        name = r.venue.upper() if len(r.venue) <= 6 else r.venue
+        about.append(f"{name} {r.venue_year}" if r.venue_year else name)
+    if r.topics:
+        about.append(", ".join((labels or {}).get(t, t) for t in r.topics[:5]))
+    about.append(f"score {r.total:.2f}")
+    out = [f"- **[{r.label}] [{r.title}]({r.url})**", f"  - {' · '.join(about)}"]
+    if r.summary:
+        out.append(f"  - {r.summary}")
+    links = [f"[{name}]({many[0]})" for name, many in (("Project", r.project_urls), ("Code", r.code_urls)) if many]
+    if links:
+        out.append(f"  - {' · '.join(links)}")
+    if r.related_items:
+        out.append("  - Related records: " + ", ".join(f"`{x}`" for x in r.related_items[:6]))
+    return [*out, ""]
+
+
+def digest_report(title: str, day: str, window: tuple[str, str, str], shown: DataFrame, labels: dict[str, str] | None = None, summary_characters: int = 280) -> str:
+    """``shown``: ranked items with section, rank, hidden and label, within their limits, so rows are few."""
+    lines = [f"# {title} — {day}", "", f"Window: {window[0]} - {window[1]} {window[2]}", ""]
+    text = shown.select(
+        "section", "rank", "hidden", "label", escape_markdown(F.col("title")).alias("title"), "url", "source", "venue", F.col("m.venue_year").alias("venue_year"), "topics", "total",
+        compact(F.col("summary"), summary_characters, True).alias("summary"), F.col("m.project_urls").alias("project_urls"), F.col("m.code_urls").alias("code_urls"), "related_items",
+    )
+    by: dict[str, list] = {}
+    for r in text.orderBy("section", "rank").collect():
+        by.setdefault(r.section, []).append(r)
+    if not by:
+        return "\n".join([*lines, "No items met the reporting threshold for this window.", ""])
+    for key, heading in HEADINGS.items():
+        rows = by.get(key, [])
+        if rows:
+            lines += [f"## {heading}", "", *(line for r in rows for line in item_block(r, labels))]
+            if rows[0].hidden:
+                lines += [f"_+{rows[0].hidden} more items omitted by section limit._", ""]
     return "\n".join(lines).rstrip() + "\n"
 
 

@@ -1,4 +1,4 @@
-"""Item logs, state tables and derived documents."""
+"""Item logs.  State and other documents are in heliograph.storage."""
 
 from __future__ import annotations
 
@@ -22,23 +22,3 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     for s in sources[1:]:
         out = out.unionByName(s, allowMissingColumns=True)
     return out
-
-
-def save_state(state: DataFrame, path: str, version: int = 1) -> None:
-    """A small state table, replaced as a whole."""
-    from pyspark.sql import functions as F
-
-    state.withColumn("version", F.lit(version)).coalesce(1).write.mode("overwrite").json(path)
-
-
-def load_state(spark: SparkSession, path: str, schema: str, version: int = 1) -> DataFrame:
-    """The state, after checking its version; an absent one is empty."""
-    try:
-        out = spark.read.schema(f"{schema}, version int").json(path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
-    if out.filter(f"version is null or version <> {version}").limit(1).count():
-        raise ValueError(f"the state in {path} isn't of version {version}")
-    return out.drop("version")

@@ -74,7 +74,7 @@ class PagedReader(DataSourceReader):
         while seen < partition.count:
             rows = transport.page(partition.start, partition.end, number)
             if not rows:
-                break
+                raise ValueError(f"{partition.start} to {partition.end}: {seen} records came of the {partition.count} that were counted")
             for r in rows:
                 yield (str(r["id"]), int(r["ts"]), json.dumps(r, sort_keys=True))
             seen, number = seen + len(rows), number + 1

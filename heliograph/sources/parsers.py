@@ -78,11 +78,19 @@ def read_preprints(df: DataFrame, column: str = "xml") -> DataFrame:
     return _rows(df, column, parse_preprints, PREPRINTS)
 
 
-def merge_categories(papers: DataFrame) -> DataFrame:
-    """One row a paper found in several categories: all categories in order of arrival, fields of the newest version."""
-    rest = [c for c in papers.columns if c not in ("paper_id", "categories")]
+def merge_categories(papers: DataFrame, arrival: str | None = None) -> DataFrame:
+    """One row a paper found in several categories: all categories, distinct, and the fields of the newest version.
+
+    Categories come in the order of ``arrival`` (a column that says when a row was
+    read) and then of each row; without one, in order of the alphabet.
+    """
+    rest = [c for c in papers.columns if c not in ("paper_id", "categories", arrival)]
     newest = F.max_by(F.struct(*rest), F.struct("updated", "version")).alias("x")
-    return papers.groupBy("paper_id").agg(F.array_distinct(F.flatten(F.collect_list("categories"))).alias("categories"), newest).select("paper_id", "categories", "x.*")
+    if arrival is None:
+        several = F.array_sort(F.array_distinct(F.flatten(F.collect_list("categories"))))  # a paper is in a few categories
+    else:
+        several = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(arrival).alias("a"), F.col("categories").alias("c")))), lambda x: x["c"])))
+    return papers.groupBy("paper_id").agg(several.alias("categories"), newest).select("paper_id", "categories", "x.*")
 
 
 # --- RSS and Atom feeds -----------------------------------------------------------------
