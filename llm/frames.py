@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliograph.shipping import ship
@@ -76,10 +76,18 @@ def drop(spark: SparkSession, *tables: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def whole_id(df: DataFrame, id_col: str) -> Column:
+    """The identifier as a long; a column of another type than whole numbers is an error, as no cast keeps identifiers apart."""
+    kind = df.select(F.col(id_col)).dtypes[0][1]
+    if kind not in ("tinyint", "smallint", "int", "bigint", "void"):
+        raise TypeError(f"identifiers in {id_col} must be whole numbers, not {kind}")
+    return F.col(id_col).cast("long")
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the identifier and the text, under fixed names; other columns can have any names."""
     _ready(df.sparkSession)
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return df.select(whole_id(df, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 def map_texts(df: DataFrame, of_block: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
