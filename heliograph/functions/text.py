@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ _FOLDS = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once a row, however often the body has it: branches don't share subexpressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def casefold(text: Column) -> Column:
     """Lower case, and the folds that add ASCII letters; enough before everything outside a-z0-9 becomes a space."""
     out = F.lower(text)

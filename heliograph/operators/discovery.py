@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.functions.numbers import clamp, round_even
-from heliograph.functions.text import casefold, contains_phrase, normalize_words
+from heliograph.functions.text import casefold, contains_phrase, let, normalize_words
 
 
 @dataclass(frozen=True)
@@ -34,12 +34,15 @@ class Quality:
 
 
 def _says(text: Column, terms: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for t in terms:
-        plain = re.sub("[^a-z0-9]+", " ", t.casefold()).strip()
-        if plain:
-            out = out | contains_phrase(text, F.lit(plain))
-    return out
+    plain = [p for p in (re.sub("[^a-z0-9]+", " ", t.casefold()).strip() for t in terms) if p]
+
+    def some(t: Column) -> Column:
+        out = F.lit(False)
+        for p in plain:
+            out = out | contains_phrase(t, F.lit(p))
+        return out
+
+    return let(text, some)
 
 
 def research_quality(name: Column, description: Column, topics: Column, homepage: Column, stars: Column, has_venue: Column, readme: Column | None = None, how: Quality = Quality(), round_to=round_even) -> Column:
@@ -47,24 +50,32 @@ def research_quality(name: Column, description: Column, topics: Column, homepage
     none = F.lit("")
     read = F.coalesce(readme, none) if readme is not None else none
     identity = normalize_words(F.concat_ws(" ", F.coalesce(name, none), F.coalesce(description, none), F.array_join(F.coalesce(topics, F.array().cast("array<string>")), " ")))
-    evidence = normalize_words(F.concat_ws(" ", identity, read))
     home = F.trim(F.coalesce(homepage, none))
     links = casefold(F.concat_ws(" ", home, F.coalesce(description, none), read))
-    linked = F.lit(False)
-    for h in how.publication_hosts:
-        linked = linked | F.contains(links, F.lit(h.casefold()))
-    n = F.coalesce(stars, F.lit(0))
-    parts = [("research_term", _says(evidence, how.research_terms), how.research_term), ("publication_link", linked, how.publication_link), ("venue", F.coalesce(has_venue, F.lit(False)), how.venue), ("homepage", home != "", how.homepage)]
-    parts += [(f"stars_{least}", n >= least, bonus) for least, bonus in how.stars]
-    raw, said = F.lit(how.baseline), [F.lit("baseline")]
-    for label, holds, bonus in parts:
-        raw = raw + F.when(holds, F.lit(bonus)).otherwise(0.0)
-        said.append(F.when(holds, F.lit(label)))
-    listing, teaching = _says(identity, how.collection_terms), _says(identity, how.tutorial_terms)
-    score = F.when(listing, F.least(raw, F.lit(how.collection_cap))).when(teaching, F.least(raw, F.lit(how.tutorial_cap))).otherwise(raw)
-    category = F.when(listing, "collection").when(teaching, "tutorial").when(raw >= how.research_from, "research").otherwise("candidate")
-    said.append(F.when(listing, "collection_cap").when(teaching, "tutorial_cap"))
-    return F.struct(round_to(clamp(score), 4).alias("score"), category.alias("category"), F.array_compact(F.array(*said)).alias("signals"))
+
+    def linked(text: Column) -> Column:
+        out = F.lit(False)
+        for h in how.publication_hosts:
+            out = out | F.contains(text, F.lit(h.casefold()))
+        return out
+
+    found = F.struct(identity.alias("identity"), let(links, linked).alias("linked"), home.alias("home"), F.coalesce(stars, F.lit(0)).cast("long").alias("n"), F.coalesce(has_venue, F.lit(False)).alias("venue"))
+    evidence = lambda x: x["identity"] if readme is None else F.concat_ws(" ", x["identity"], normalize_words(read))
+    read_once = lambda x: F.struct(x["home"].alias("home"), x["linked"].alias("linked"), x["n"].alias("n"), x["venue"].alias("venue"), _says(evidence(x), how.research_terms).alias("research"), _says(x["identity"], how.collection_terms).alias("listing"), _says(x["identity"], how.tutorial_terms).alias("teaching"))
+
+    def judged(x: Column) -> Column:
+        parts = [("research_term", x["research"], how.research_term), ("publication_link", x["linked"], how.publication_link), ("venue", x["venue"], how.venue), ("homepage", x["home"] != "", how.homepage)]
+        parts += [(f"stars_{least}", x["n"] >= least, bonus) for least, bonus in how.stars]
+        raw, said = F.lit(how.baseline), [F.lit("baseline")]
+        for label, holds, bonus in parts:
+            raw = raw + F.when(holds, F.lit(bonus)).otherwise(0.0)
+            said.append(F.when(holds, F.lit(label)))
+        score = F.when(x["listing"], F.least(raw, F.lit(how.collection_cap))).when(x["teaching"], F.least(raw, F.lit(how.tutorial_cap))).otherwise(raw)
+        category = F.when(x["listing"], "collection").when(x["teaching"], "tutorial").when(raw >= how.research_from, "research").otherwise("candidate")
+        said.append(F.when(x["listing"], "collection_cap").when(x["teaching"], "tutorial_cap"))
+        return F.struct(round_to(clamp(score), 4).alias("score"), category.alias("category"), F.array_compact(F.array(*said)).alias("signals"))
+
+    return let(let(found, read_once), judged)
 
 
 # --- queries and gates -----------------------------------------------------------------

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.functions import urls
-from heliograph.functions.text import casefold, contains_phrase, normalize_words
+from heliograph.functions.text import casefold, contains_phrase, let, normalize_words
 
 #: Metadata keys that may hold identifiers.
 SCANNED_KEYS = ("homepage", "comment", "doi", "pdf_url", "pdf", "links", "external_urls", "code_urls", "project_urls")
@@ -114,15 +116,15 @@ def project_items(items: DataFrame, project_urls: str = "project_urls") -> DataF
 
 def venue_of(comment: Column, journal: Column, venues: list[tuple[str, list[str]]]) -> Column:
     """The first venue, in order, with an alias of at least three letters or digits in either text; null if none."""
-    import re
-
-    text = normalize_words(F.concat_ws(" ", comment, journal))
-    out = F.lit(None).cast("string")
-    for name, aliases in reversed(venues):
-        plain = [p for p in (re.sub("[^a-z0-9]+", " ", a.casefold()).strip() for a in aliases) if len(p.replace(" ", "")) >= 3]
-        if plain:
-            some = F.lit(False)
-            for p in plain:
-                some = some | contains_phrase(text, F.lit(p))
-            out = F.when(some, F.lit(name)).otherwise(out)
-    return out
+    def first(text: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name, aliases in reversed(venues):
+            plain = [p for p in (re.sub("[^a-z0-9]+", " ", a.casefold()).strip() for a in aliases) if len(p.replace(" ", "")) >= 3]
+            if plain:
+                some = F.lit(False)
+                for p in plain:
+                    some = some | contains_phrase(text, F.lit(p))
+                out = F.when(some, F.lit(name)).otherwise(out)
+        return out
+
+    return let(normalize_words(F.concat_ws(" ", comment, journal)), first)
