@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.frames import cut, table
+from llm.frames import cut, table, whole_id
 
 
 @dataclass(frozen=True)
@@ -128,7 +128,7 @@ def placed(docs: DataFrame, plan: tuple[DataFrame, DataFrame], how: Mixture) ->
 
 
 def _keyed(df: DataFrame, how: Mixture, id_col: str, source_col: str, text_col: str, *more: Column) -> DataFrame:
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), token_count(text_col).alias("tokens"), *more)
+    docs = df.select(whole_id(df, id_col).alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), token_count(text_col).alias("tokens"), *more)
     return docs.withColumn("block", _block(how, 0)).withColumn("part", _block(how, 1))
 
 

@@ -123,6 +123,18 @@ def _groups(dependent: np.ndarray) -> np.ndarray:
         group = low
 
 
+def _label_rates(q: np.ndarray, label: np.ndarray, belief: float = 0.5) -> tuple[float, float]:
+    """How often toxic and clean texts are labelled toxic.
+
+    A belief in 0.9 and 0.1 is worth ``belief`` times the texts of each class, and ten
+    more: posteriors ``q`` know the labels, and so would only confirm them.
+    """
+    toxic, clean = q.sum(), (1 - q).sum()
+    right = (0.9 * (10 + belief * toxic) + q @ label) / (10 + (1 + belief) * toxic)
+    wrong = (0.1 * (10 + belief * clean) + (1 - q) @ label) / (10 + (1 + belief) * clean)
+    return float(right), float(wrong)
+
+
 def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[tuple[int, int], ...], tuple[float, float]]:
     """Posterior labels, accuracies, log-odds weights and correlated pairs of voters, and how often toxic and clean texts are labelled toxic, by expectation-maximisation.
 
@@ -130,9 +142,8 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
     abstention is no evidence.  Pairs that agree far beyond what the classes explain
     are correlated; of correlated voters that fire on a text only the strongest counts.
     Texts on which none fires have a share of their own.  ``gold`` has a text's label,
-    0 or 1, or nan: a voter that never abstains where there is one, and which is taken
-    to be right nine times in ten; that belief is worth a quarter of the texts, as a
-    label that outvotes all others would only confirm itself.
+    0 or 1, or nan: a voter that never abstains where there is one, and whose accuracy
+    is estimated like the others', against a belief that it is right nine times in ten.
     """
     n, k = votes.shape
     some, said = votes.any(1), ~np.isnan(gold)
@@ -148,10 +159,6 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
         one = (q @ votes + 0.05) / (q.sum() + 0.1)
         zero = ((1 - q) @ votes + 0.05) / ((1 - q).sum() + 1.0)
         weights = np.log(one / zero)
-        if step:
-            toxic, clean = q[said].sum(), (1 - q)[said].sum()
-            right = (0.9 * (10 + toxic / 4) + (q * label)[said].sum()) / (10 + 1.25 * toxic)
-            wrong = (0.1 * (10 + clean / 4) + ((1 - q) * label)[said].sum()) / (10 + 1.25 * clean)
         if step == rounds // 2:
             joint = votes.T @ votes / n
             p = q.mean()
@@ -170,6 +177,8 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray, rounds: int)
             odds += up + down
         none = np.clip(q[~some].mean() if (~some).any() else prior, 1e-3, 1 - 1e-3)
         odds[~some] = np.log(none / (1 - none))
+        if step:
+            right, wrong = _label_rates(q[said], label[said])
         odds += np.where(said, np.where(label > 0.5, np.log(right / wrong), np.log((1 - right) / (1 - wrong))), 0.0)
         q = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     accuracy = one * prior / np.maximum(one * prior + zero * (1 - prior), 1e-12)
