@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.components import components
-from llm.frames import cut, map_texts, table, texts
+from llm.frames import cut, map_texts, table, texts, whole_id
 from llm.words import combine, mix64, shingles, words_of
 
 
@@ -35,7 +35,8 @@ class NearDuplicates:
     percent: int = 80  # links have 100 * intersection >= percent * union
     half: int = 12  # short keys in each of the two collections
     width: int = 3  # minhashes in a short key
-    block_rows: int = 512  # texts that are compared in full with as many others at a time
+    block_rows: int = 512  # texts that are compared in full with as many others at a time,
+    block_grams: int = 200_000  # and about so many shingles of theirs at most
     broadcast_rows: int = 1_000_000  # identifiers up to this number are broadcast (8 MB), else joined by a shuffle
 
 
@@ -153,15 +154,15 @@ def block_links(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> Dat
     """a, b: for each two components a link between them, if there is one; ``members`` as from ``undecided``.
 
     Texts that share buckets, by whatever chain, are a family, dealt into blocks of
-    about ``block_rows``.  Each two blocks of a family meet in one task, which counts
-    shared shingles by products of 0/1 matrices, a stretch of shingles at a time; only
-    links go on.  So no pair of texts is a row, and a task holds two blocks whatever the
-    family's size.
+    about ``block_rows`` texts and ``block_grams`` shingles.  Each two blocks of a family
+    meet in one task, which counts shared shingles by products of 0/1 matrices, a stretch
+    of shingles at a time; only links go on.  So no pair of texts is a row, and a task
+    holds two blocks whatever the family's size and however long its texts are.
     """
     first = members.groupBy("key").agg(F.min("node").alias("first"))
     chains = members.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b"))
     nodes = cut(_families(members, chains))
-    sizes = nodes.groupBy("family").agg(F.ceil(F.count("*") / how.block_rows).alias("blocks"))
+    sizes = nodes.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / how.block_rows), F.ceil(F.sum("n") / how.block_grams)).alias("blocks"))
     dealt = nodes.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = dealt.select("family", "node", "part_of", "block", other.alias("o"))
@@ -205,9 +206,9 @@ def block_links(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> Dat
 
 
 def _families(members: DataFrame, chains: DataFrame) -> DataFrame:
-    """node, part_of (its component so far), family."""
-    nodes = members.select("node", F.col("component").alias("part_of")).distinct()
-    return nodes.join(components(chains).withColumnRenamed("component", "family"), "node", "left").select("node", "part_of", F.coalesce("family", "node").alias("family"))
+    """node, n, part_of (its component so far), family."""
+    nodes = members.select("node", "n", F.col("component").alias("part_of")).distinct()
+    return nodes.join(components(chains).withColumnRenamed("component", "family"), "node", "left").select("node", "n", "part_of", F.coalesce("family", "node").alias("family"))
 
 
 def near_duplicates(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,7 +266,7 @@ def keep_one(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_col: str
     ``broadcast_rows`` of them, a shuffle beyond.
     """
     gone = cut(near_duplicates(df, how, id_col, text_col).filter("not kept").select("doc_id").distinct())
-    return df.join(_some(gone.withColumnRenamed("doc_id", "__gone"), how.broadcast_rows), F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+    return df.join(_some(gone.withColumnRenamed("doc_id", "__gone"), how.broadcast_rows), whole_id(df, id_col) == F.col("__gone"), "left_anti")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
