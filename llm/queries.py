@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.audit import ORACLE_OP11, op11_filter_audit
+from llm.classifier import op13_quality_classifier
 from llm.licenses import op3_license_scan
 from llm.lm import op4_interpolated_lm
 from llm.mixing import op8_source_mixture
@@ -28,7 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixture": op8_source_mixture,
     "op9_personal_data": op9_personal_data,
     "op10_url_verdicts": op10_url_verdicts,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_top_k": ORACLE_OP6,
+    "op11_filter_audit": ORACLE_OP11,
 }

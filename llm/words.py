@@ -142,36 +142,55 @@ def _words(data: np.ndarray, offsets: np.ndarray, fold: bool | str, strip: bytes
     return Words(hashes, starts, ends, first, data, offsets)
 
 
-def word_numbers(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's number, and offsets by text, as in ``words_of``; long texts are taken in stretches.
+def stretches(data: np.ndarray, offsets: np.ndarray, fold: bool | str = True) -> Iterator[tuple[int, int, Words]]:
+    """The first text, the first byte and the words of each stretch of some texts.
 
-    Stretches are of about ``BLOCK_BYTES`` and end where a word does, so memory beyond
-    the numbers is bounded, but for a single longer word.
+    Stretches are of about ``BLOCK_BYTES`` and end where a text or a word does, so memory
+    is bounded, but for a single longer word.
     """
-    data, offsets = _bytes_of(texts)
-    out, counts = [], np.zeros(len(offsets) - 1, dtype=np.int64)
-    at = 0
-    while at < len(counts):
+    at, n = 0, len(offsets) - 1
+    while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1)
         low, high = int(offsets[at]), int(offsets[to])
         if to > at + 1 or high - low <= BLOCK_BYTES:
-            w = _words(data[low:high], offsets[at : to + 1] - low, fold)
-            out.append(w.hashes)
-            counts[at:to] = np.diff(w.first)
+            yield at, low, _words(data[low:high], offsets[at : to + 1] - low, fold)
         else:
             while low < high:
                 end = min(low + BLOCK_BYTES, high)
                 while end < high and not _SPACE[data[end]]:
                     step = np.flatnonzero(_SPACE[data[end : end + BLOCK_BYTES]])
                     end = end + int(step[0]) if len(step) else min(end + BLOCK_BYTES, high)
-                w = _words(data[low:end], np.array([0, end - low]), fold)
-                out.append(w.hashes)
-                counts[at] += len(w.hashes)
+                yield at, low, _words(data[low:end], np.array([0, end - low]), fold)
                 low = end
         at = to
+
+
+def word_numbers(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's number, and offsets by text, as in ``words_of``; long texts are taken in stretches."""
+    data, offsets = _bytes_of(texts)
+    out, counts = [], np.zeros(len(offsets) - 1, dtype=np.int64)
+    for at, _, w in stretches(data, offsets, fold):
+        out.append(w.hashes)
+        counts[at : at + len(w.first) - 1] += np.diff(w.first)
     return np.concatenate([np.zeros(0, np.uint64), *out]), np.concatenate([[0], np.cumsum(counts)])
 
 
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the ``length`` bytes at ``a`` and at ``b`` are equal: eight at a time, and what is beyond 64 in one go."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded.data, 0, (1,))
+    same = np.ones(len(a), dtype=bool)
+    live = np.flatnonzero(length > 0)
+    for step in range(0, 64, 8):
+        left = np.minimum(length[live] - step, 8)
+        differ = (eight[a[live] + step] ^ eight[b[live] + step]) << (64 - 8 * left).astype(np.uint64)
+        same[live[differ != 0]] = False
+        live = live[(differ == 0) & (length[live] > step + 8)]
+    for k in live.tolist():
+        same[k] = bool((data[a[k] + 64 : a[k] + length[k]] == data[b[k] + 64 : b[k] + length[k]]).all())
+    return same
+
+
 def blocks_of(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts come to about ``most`` bytes; a longer text is a slice of its own."""
     if batch.num_rows == 0:
