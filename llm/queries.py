@@ -13,6 +13,7 @@ from llm.lm import op4_interpolated_lm
 from llm.mixing import op8_source_mixture
 from llm.neardup import op5_near_duplicates
 from llm.packing import op2_best_fit_packing
+from llm.phrases import ORACLE_OP12, op12_collocations
 from llm.pii import op9_personal_data
 from llm.quality import op7_line_quality
 from llm.topk import ORACLE_OP6, op6_exact_top_k
@@ -31,9 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_url_verdicts": op10_url_verdicts,
     "op11_filter_audit": op11_filter_audit,
+    "op12_collocations": op12_collocations,
     "op13_quality_classifier": op13_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_top_k": ORACLE_OP6,
     "op11_filter_audit": ORACLE_OP11,
+    "op12_collocations": ORACLE_OP12,
 }
