@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,9 +35,11 @@ from llm.wordpieces import WordPieces
 @dataclass(frozen=True)
 class Packing:
     window: int = 4096
-    large: int = 1365  # lengths above take part in the configurations: of these a window holds two at most, and small ones fill it up
-    groups: int = 48  # sizes left by linear grouping
-    most_columns: int = 10_000  # configurations priced; the plan is whole, if less tight, wherever pricing ends
+    large: tuple[int, ...] = (512, 1024, 1365)  # lengths above take part in the configurations; the thresholds are tried in turn
+    groups: int = 128  # sizes left by linear grouping
+    least_group: int = 4  # pieces a group has, about; fewer pieces make fewer groups
+    gap: float = 1e-3  # pricing ends when a fractional plan needs at most so much more than the fewest windows
+    most_columns: int = 10_000  # configurations priced in one go; the plan is whole, if less tight, wherever pricing ends
     rank_rows: int = 2_000  # pieces of a length that one ranking group takes, about
     vocabulary: str = "word_bpe_49k.json"
     end: int = 1  # the identifier after each text
@@ -61,64 +64,68 @@ def linear_groups(counts: np.ndarray, large: int, groups: int) -> list[list[int]
 
 
 def _best_column(sizes: np.ndarray, values: np.ndarray, window: int) -> tuple[np.ndarray, float]:
-    """The most valuable way of filling a window: an unbounded knapsack."""
-    best = np.zeros(window + 1)
+    """The most valuable way of filling a window: an unbounded knapsack, a stretch of capacities as wide as the smallest size at a time."""
+    some = np.flatnonzero(values > 0)
+    if not len(some):
+        return np.zeros(len(sizes), dtype=np.int64), 0.0
+    sizes_, values_ = sizes[some], values[some]
+    widest, least = int(sizes_.max()), int(sizes_.min())
+    best = np.full(widest + window + 1, -np.inf)  # shifted, so that capacities below 0 are there, without a way of filling them
+    best[widest : widest + least] = 0.0
     last = np.full(window + 1, -1)
-    for k in np.argsort(-values / sizes):
-        s, v = int(sizes[k]), float(values[k])
-        if v <= 0:
-            continue
-        for start in range(s, window + 1, s):  # a stretch of s capacities depends only on the stretch before
-            to = min(start + s, window + 1)
-            cand = best[start - s : to - s] + v
-            better = cand > best[start:to] + 1e-12
-            best[start:to] = np.where(better, cand, best[start:to])
-            last[start:to] = np.where(better, k, last[start:to])
+    for start in range(least, window + 1, least):
+        to = min(start + least, window + 1)
+        ways = best[np.arange(start, to) + (widest - sizes_)[:, None]] + values_[:, None]
+        pick = ways.argmax(0)
+        best[widest + start : widest + to] = ways[pick, np.arange(to - start)]
+        last[start:to] = pick
     out, room = np.zeros(len(sizes), dtype=np.int64), window
-    at = int(np.argmax(best))
-    value = float(best[at])
-    room = at
-    while room > 0 and last[room] >= 0:
-        out[last[room]] += 1
-        room -= int(sizes[last[room]])
-    return out, value
+    while room >= least:
+        out[some[last[room]]] += 1
+        room -= int(sizes_[last[room]])
+    return out, float(best[widest + window])
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, window: int, most: int = 10_000) -> list[tuple[np.ndarray, int]]:
-    """Ways of filling windows with rounded sizes and how many windows of each, by column generation; whole parts only."""
+def configurations(sizes: np.ndarray, demand: np.ndarray, window: int, most: int = 10_000, gap: float = 1e-3) -> list[tuple[np.ndarray, float]]:
+    """Ways of filling windows with rounded sizes, and how many windows of each a fractional optimum has, by column generation."""
     k = len(sizes)
-    columns = np.diag(window // sizes).astype(float)
-    level = demand / np.diag(columns)
-    basis = columns.copy()
-    for _ in range(most):
-        try:
-            inverse = np.linalg.inv(basis)
-        except np.linalg.LinAlgError:
-            break
-        prices = inverse.sum(0)
-        column, value = _best_column(sizes, prices, window)
-        if value <= 1 + 1e-7:
+    if not k:
+        return []
+    basis = np.diag(window // sizes).astype(float)
+    inverse, level = np.linalg.inv(basis), demand / np.diag(basis)
+    for turn in range(most):
+        column, value = _best_column(sizes, inverse.sum(0), window)
+        if value <= 1 + gap:  # no fractional plan needs fewer windows than this one's over ``value``
             break
         direction = inverse @ column
-        level = inverse @ demand
         ratio = np.where(direction > 1e-9, np.maximum(level, 0) / np.where(direction > 1e-9, direction, 1), np.inf)
         leave = int(np.argmin(ratio))
         if not np.isfinite(ratio[leave]):
             break
         basis[:, leave] = column
-    level = np.linalg.lstsq(basis, demand.astype(float), rcond=None)[0]
-    whole = np.maximum(np.floor(level + 1e-9), 0).astype(np.int64)
-    out = [(basis[:, j].round().astype(np.int64), int(whole[j])) for j in range(k) if whole[j] > 0]
-    # numerical noise must not ask for more than there is
-    left = demand.astype(np.int64).copy()
-    kept = []
-    for column, n in out:
-        with np.errstate(divide="ignore"):
-            n = min(n, int(np.min(np.where(column > 0, left // np.maximum(column, 1), n))))
-        if n > 0:
-            left -= n * column
-            kept.append((column, n))
-    return kept
+        pivot = inverse[leave] / direction[leave]
+        inverse -= np.outer(direction, pivot)
+        inverse[leave] = pivot
+        if turn % 64 == 63:  # rounding errors of the updates don't add up
+            inverse = np.linalg.inv(basis)
+        level = inverse @ demand
+    return [(basis[:, j].round().astype(np.int64), float(level[j])) for j in range(k) if level[j] > 1e-9]
+
+
+def whole_windows(columns: list[tuple[np.ndarray, float]], demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Whole numbers of windows for fractional ones: the whole parts, and where these are none, one of each column that is still in demand, the largest fraction first."""
+    left, out = demand.astype(np.int64).copy(), []
+    ordered = sorted(columns, key=lambda c: (c[1] - np.floor(c[1] + 1e-9), c[1], c[0].tolist()), reverse=True)
+    for part in (lambda level: int(np.floor(level + 1e-9)), lambda level: 1):
+        for column, level in ordered:
+            used = column > 0
+            n = min(part(level), int((left[used] // column[used]).min()))
+            if n > 0:
+                left -= n * column
+                out.append((column, n))
+        if out:
+            break
+    return out
 
 
 def _fill(runs: dict[int, list[list]], length: int, count: int, window: int) -> None:
@@ -164,56 +171,89 @@ def best_fit(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, li
     return _best_fit(counts.astype(np.int64), how.window, defaultdict(list))
 
 
+def _substituted(slots: list[int], number: int, left: list[int], loose: int, large: int, window: int, runs: dict[int, list[list]]) -> int:
+    """Actual pieces take the slots of so many windows of one configuration; windows with equal lengths are one run.
+
+    A slot takes the longest piece left that the window holds besides the slots to come.
+    A piece longer than the slot's own group leaves its own place to a shorter one, so no
+    piece loses its slot, and the room that rounding up had set aside comes together in
+    few windows.  Windows with more room than ``loose`` aren't made; returns how many are.
+    """
+    made = 0
+    while number:
+        room, reserved, taken = window, sum(slots), {}
+        for s in slots:
+            reserved -= s
+            x = room - reserved
+            while x > large and left[x] <= taken.get(x, 0):
+                x -= 1
+            if x > large:
+                taken[x] = taken.get(x, 0) + 1
+                room -= x
+        if not taken or room > loose:
+            break
+        n = min(number, *(left[x] // m for x, m in taken.items()))
+        for x, m in taken.items():
+            left[x] -= n * m
+        made += n
+        runs[room].append([n, [x for x, m in taken.items() for _ in range(m)]])
+        number -= n
+    return made
+
+
+def _rounds(counts: np.ndarray, large: int, how: Packing) -> Iterator[tuple[int, list[int], dict[int, list[list]]]]:
+    """After each round of configurations: the pieces these have placed, what is left by length, and the runs they make."""
+    left = counts.astype(np.int64).tolist()
+    runs: dict[int, list[list]] = defaultdict(list)
+    loose = max(1, how.window >> 9)
+    while loose < 2 * how.window:
+        now = np.array(left)
+        grouped = linear_groups(now, large, min(how.groups, 1 + int(now[large + 1 :].sum()) // how.least_group))
+        sizes, demand = np.array([g[0] for g in grouped]), np.array([int(now[g].sum()) for g in grouped])
+        chosen = whole_windows(configurations(sizes, demand, how.window, how.most_columns, how.gap), demand)
+        made = 0
+        for column, number in chosen:
+            made += _substituted([int(sizes[k]) for k in np.flatnonzero(column) for _ in range(column[k])], number, left, loose, large, how.window, runs)
+        if made:
+            yield int(counts[1:].sum()) - sum(left[1:]), list(left), {room: [list(r) for r in some] for room, some in runs.items()}
+        if made * 8 < sum(n for _, n in chosen) or not chosen:
+            loose *= 2
+
+
 def plan(counts: np.ndarray, how: Packing = Packing()) -> list[tuple[int, list[int]]]:
     """Runs of windows for so many pieces of each length (``counts`` by length).
 
-    Linear grouping, configurations and substitution; small pieces, and large ones that
-    the configurations' whole parts leave over, go by best fit.
+    Linear grouping, configurations and substitution make the windows that come out
+    nearly full; the pieces of the others go through the same again.  There are fewer
+    each time, so groups get finer; when few windows come out
+    nearly full, twice the room is allowed.  What is left, small pieces above all, goes
+    by best fit into the room there is.
+
+    Every round of every threshold gives a plan.  The one with the fewest windows is
+    taken, with equal ones that with most pieces in configurations; only plans in which
+    configurations place half of all pieces count, if there are such.  The search ends
+    with one of those that needs no more windows than the tokens fill.
     """
-    counts = counts.astype(np.int64).copy()
-    grouped = linear_groups(counts, how.large, how.groups)
-    sizes = np.array([g[0] for g in grouped])
-    demand = np.array([int(counts[g].sum()) for g in grouped])
-    left = counts.copy()
-    queues = [[[x, int(counts[x])] for x in g] for g in grouped]  # longest first
-    runs: dict[int, list[list]] = defaultdict(list)
-    for column, number in configurations(sizes, demand, how.window, how.most_columns):
-        # actual pieces take the slots in order; a stretch of windows with equal lengths is one run
-        while number:
-            taken: list[list[int]] = []
-            n = number
-            for k in np.flatnonzero(column):
-                need = int(column[k])
-                # each of the next windows takes `need` pieces from the front of the queue
-                x, have = queues[k][0]
-                if have >= need:
-                    n = min(n, have // need)
-                    taken.append([k, need, x])
-                else:
-                    n = 1
-                    taken.append([k, need, -1])
-            lengths: list[int] = []
-            for k, need, x in taken:
-                if x >= 0:
-                    use = n * need
-                    lengths += [x] * need
-                    queues[k][0][1] -= use
-                    left[x] -= use
-                else:
-                    while need:
-                        x, have = queues[k][0]
-                        use = min(need, have)
-                        lengths += [x] * use
-                        left[x] -= use
-                        need -= use
-                        queues[k][0][1] -= use
-                        if not queues[k][0][1]:
-                            queues[k].pop(0)
-                if queues[k] and not queues[k][0][1]:
-                    queues[k].pop(0)
-            runs[how.window - sum(lengths)].append([n, lengths])
-            number -= n
-    return _best_fit(left, how.window, runs)
+    return _chosen(counts, how)[1]
+
+
+def configured_share(counts: np.ndarray, how: Packing = Packing()) -> float:
+    """The share of pieces that the plan's configurations place."""
+    return _chosen(counts, how)[0] / max(1, int(counts[1:].sum()))
+
+
+def _chosen(counts: np.ndarray, how: Packing) -> tuple[int, list[tuple[int, list[int]]]]:
+    total, least = int(counts[1:].sum()), -(-int((counts * np.arange(len(counts))).sum()) // how.window)
+    best, out = (False, 0, 0), None
+    for large in how.large:
+        for placed, left, runs in _rounds(counts, large, how):
+            made = _best_fit(np.array(left), how.window, defaultdict(list, runs))
+            found = (2 * placed >= total, -sum(n for n, _ in made), placed)
+            if out is None or found > best:
+                best, out = found, made
+            if best[0] and -best[1] == least:
+                return best[2], out
+    return (best[2], out) if out is not None else (0, best_fit(counts, how))  # no piece is large
 
 
 def places(runs: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray, ...]]:
