@@ -1,38 +1,81 @@
-"""A Python data source for paged APIs: planning splits ranges that are too full, tasks fetch pages.
+"""A Python data source for paged APIs that list records by time, read whole or as a stream.
 
-The transport is a class with ``count(start, end)`` and ``page(start, end, number)``; one that
-reads fixture files serves where there is no network.  ``register`` makes it a format.
+Planning splits ranges that are too full, or leaves a range to pages that come newest
+first and end where they reach back beyond it.  The transport is a class with ``latest()``
+and either ``count(start, end)`` and ``page(start, end, number)`` or ``newest(number)``;
+one that reads fixture files serves where there is no network.  ``register`` makes it a
+format.
+
+As a stream, the offset is the end of what has been read, by target.  Each batch reads
+from the offset less an overlap, so late records are found; what the overlap repeats is
+left to a sink that knows identifiers (``operators.commits``).  Spark moves the offset only
+after the sink has taken a batch.
 """
 
 from __future__ import annotations
 
 import importlib
 import json
+import os
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from heliograph.shipping import ship
 
+#: What is done about a failure of each kind: how many more attempts, and the seconds before the first of them, which double with each.
+POLICY = {"unreachable": (3, 1.0), "busy": (3, 1.0), "limited": (2, 60.0), "missing": (0, 0.0), "refused": (0, 0.0), "malformed": (0, 0.0)}
+
+
+class Failed(Exception):
+    """A transport's failure, of a kind in POLICY; ``wait`` are the seconds the other side asks for."""
+
+    def __init__(self, kind: str, message: str = "", wait: float | None = None):
+        super().__init__(kind, message, wait)
+        self.kind, self.message, self.wait = kind, message, wait
+
+    def __str__(self) -> str:
+        return f"{self.kind}: {self.message}"
+
+
+def attempt(call: Callable, longest_wait: float = 120.0, sleep: Callable[[float], None] = time.sleep):
+    """The call's result, tried again as POLICY says; a wait beyond ``longest_wait`` ends the attempts."""
+    tried = 0
+    while True:
+        try:
+            return call()
+        except Failed as f:
+            more, first = POLICY[f.kind]
+            wait = first * 2**tried if f.wait is None else f.wait
+            if tried >= more or wait > longest_wait:
+                raise
+            tried += 1
+            sleep(wait)
+
 
 @dataclass
 class Slice(InputPartition):
     start: int
     end: int
-    count: int
+    count: int  # -1: not counted, pages come newest first
+    target: str = ""
 
 
 class FileTransport:
-    """Records of a JSON-lines file, each with a ``ts`` in seconds; pages of ``size``."""
+    """Records of a JSON-lines file, each with a ``ts`` in seconds and, where there are targets, a ``target``; pages of ``size``."""
 
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, target: str = ""):
         with open(options["path"]) as f:
-            self.rows = [json.loads(x) for x in f if x.strip()]
+            rows = [json.loads(x) for x in f if x.strip()]
+        self.rows = [r for r in rows if not target or r.get("target") == target]
         self.size = int(options.get("pageSize", 100))
 
+    def latest(self) -> int:
+        return max((r["ts"] for r in self.rows), default=-1) + 1
+
     def _within(self, start: int, end: int) -> list[dict]:
         return sorted((r for r in self.rows if start <= r["ts"] < end), key=lambda r: (-r["ts"], str(r["id"])))
 
@@ -44,55 +87,164 @@ class FileTransport:
         return rows[number * self.size : (number + 1) * self.size]
 
 
-def split_range(count, start: int, end: int, capacity: int, least: int) -> list[Slice]:
+class FolderTransport(FileTransport):
+    """Records of JSON-lines files in folders ``slot=n``, each of ``slotSeconds`` seconds from n times as many on: a range reads its own folders only."""
+
+    def __init__(self, options: dict, target: str = ""):
+        self.root, self.slot, self.size, self.target = options["path"].removeprefix("file://"), int(options.get("slotSeconds", 86_400)), int(options.get("pageSize", 100)), target
+
+    def _slots(self) -> list[int]:
+        return sorted(int(d[5:]) for d in os.listdir(self.root) if d.startswith("slot="))
+
+    def _read(self, slot: int) -> list[dict]:
+        folder, rows = f"{self.root}/slot={slot}", []
+        for name in sorted(os.listdir(folder)):
+            if name.endswith(".json"):
+                with open(f"{folder}/{name}") as f:
+                    rows += [json.loads(x) for x in f if x.strip()]
+        return [r for r in rows if not self.target or r.get("target") == self.target]
+
+    def latest(self) -> int:
+        return max((r["ts"] for r in self._read(self._slots()[-1])), default=-1) + 1
+
+    def _within(self, start: int, end: int) -> list[dict]:
+        rows = [r for s in self._slots() if s * self.slot < end and (s + 1) * self.slot > start for r in self._read(s)]
+        return sorted((r for r in rows if start <= r["ts"] < end), key=lambda r: (-r["ts"], str(r["id"])))
+
+
+class FileFeed(FileTransport):
+    """The same as a feed without counts: pages newest first."""
+
+    count = page = None
+
+    def newest(self, number: int) -> list[dict]:
+        return self._within(0, 1 << 62)[number * self.size : (number + 1) * self.size]
+
+
+def split_range(count, start: int, end: int, capacity: int, least: int, target: str = "") -> list[Slice]:
     """Halves of the range until each holds at most ``capacity``; below ``least`` seconds that is an error, never a cut."""
     n = count(start, end)
     if n <= capacity:
-        return [Slice(start, end, n)] if n else []
+        return [Slice(start, end, n, target)] if n else []
     if end - start <= least:
         raise ValueError(f"{n} records from {start} to {end} exceed the capacity of {capacity}")
     middle = (start + end) // 2
-    return split_range(count, start, middle, capacity, least) + split_range(count, middle, end, capacity, least)
+    return split_range(count, start, middle, capacity, least, target) + split_range(count, middle, end, capacity, least, target)
+
 
+class _Pages:
+    """What reading whole and reading as a stream share."""
 
-class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = dict(options)
+        self.targets = json.loads(self.options.get("targets", "[]")) or [""]
 
-    def _transport(self):
+    def _transport(self, target: str = ""):
         module, _, name = self.options.get("transport", "heliograph.sources.paged.FileTransport").rpartition(".")
-        return getattr(importlib.import_module(module), name)(self.options)
+        kind = getattr(importlib.import_module(module), name)
+        return kind(self.options, target) if target else kind(self.options)
 
-    def partitions(self):
-        o = self.options
-        return split_range(self._transport().count, int(o["start"]), int(o["end"]), int(o.get("capacity", 1000)), int(o.get("leastSeconds", 900))) or [Slice(int(o["start"]), int(o["end"]), 0)]
+    def plan(self, start: int, end: int, target: str) -> list[Slice]:
+        transport, o = self._transport(target), self.options
+        if getattr(transport, "count", None) is None:
+            return [Slice(start, end, -1, target)] if start < end else []
+        return split_range(lambda a, b: attempt(lambda: transport.count(a, b)), start, end, int(o.get("capacity", 1000)), int(o.get("leastSeconds", 900)), target)
 
-    def read(self, partition: Slice) -> Iterator[tuple]:
-        if not partition.count:
-            return
-        transport, pause, number, seen = self._transport(), float(self.options.get("pause", 0)), 0, 0
-        while seen < partition.count:
-            rows = transport.page(partition.start, partition.end, number)
-            if not rows:
-                raise ValueError(f"{partition.start} to {partition.end}: {seen} records came of the {partition.count} that were counted")
-            for r in rows:
-                yield (str(r["id"]), int(r["ts"]), json.dumps(r, sort_keys=True))
+    def _pages(self, part: Slice) -> Iterator[list[dict]]:
+        """Pages of a slice: as many as it was counted to have, or newest first until one reaches back beyond it."""
+        transport, number, seen = self._transport(part.target), 0, 0
+        most, pause = int(self.options.get("mostPages", 10_000)), float(self.options.get("pause", 0))
+        while part.count < 0 or seen < part.count:
+            rows = attempt(lambda: transport.newest(number) if part.count < 0 else transport.page(part.start, part.end, number))
+            if not rows and part.count >= 0:
+                raise ValueError(f"{part.start} to {part.end}: {seen} records came of the {part.count} that were counted")
+            yield [r for r in rows if part.count >= 0 or part.start <= r["ts"] < part.end]
             seen, number = seen + len(rows), number + 1
+            if part.count < 0 and (not rows or min(r["ts"] for r in rows) < part.start):
+                return
+            if part.count < 0 and number >= most:
+                raise ValueError(f"{most} pages don't reach back to {part.start}")
             if pause:
                 time.sleep(pause)
 
+    def read(self, partition: Slice) -> Iterator[tuple]:
+        """Records of a slice; with ``onError`` as ``row`` a failure is one more row and costs no other slice's rows."""
+        if not partition.count:
+            return
+        wide = "targets" in self.options
+        try:
+            for rows in self._pages(partition):
+                for r in rows:
+                    yield (str(r["id"]), int(r["ts"]), json.dumps(r, sort_keys=True), *((partition.target, None) if wide else ()))
+        except (Failed, ValueError) as e:
+            if self.options.get("onError") != "row" or not wide:
+                raise
+            yield (None, None, None, partition.target, str(e))
+
+
+class PagedReader(_Pages, DataSourceReader):
+    def partitions(self):
+        start, end = int(self.options["start"]), int(self.options["end"])
+        out: list[Slice] = []
+        for target in self.targets:
+            try:
+                out += self.plan(start, end, target)
+            except (Failed, ValueError):
+                if self.options.get("onError") != "row":
+                    raise
+                out.append(Slice(start, end, -2, target))  # its task fails likewise, and says so in a row
+        return out or [Slice(start, end, 0)]
+
+    def _pages(self, part: Slice) -> Iterator[list[dict]]:
+        if part.count == -2:
+            self.plan(part.start, part.end, part.target)
+            raise ValueError("planning failed, and then did not")
+        return super()._pages(part)
+
+
+class PagedStreamReader(_Pages, DataSourceStreamReader):
+    """Offsets are the ends of what has been read, by target, in seconds."""
+
+    def initialOffset(self) -> dict:
+        if "start" in self.options:
+            return {t: int(self.options["start"]) for t in self.targets} | {"first": True}
+        back = int(float(self.options.get("lookbackHours", 24)) * 3600)
+        return {t: self._transport(t).latest() - back for t in self.targets} | {"first": True}
+
+    def latestOffset(self) -> dict:
+        most = int(self.options["until"]) if "until" in self.options else None
+        return {t: n if most is None else min(n, most) for t in self.targets for n in [attempt(self._transport(t).latest)]}
+
+    def partitions(self, start: dict, end: dict):
+        overlap, oldest = int(float(self.options.get("overlapMinutes", 0)) * 60), int(float(self.options.get("mostHours", 24 * 365)) * 3600)
+        out: list[Slice] = []
+        for t in self.targets:
+            if t not in start:  # a target that came later begins with the others
+                start = start | {t: min(v for k, v in start.items() if k != "first")}
+            if end[t] <= start[t]:
+                continue
+            if end[t] - start[t] > oldest and not start.get("first"):
+                raise ValueError(f"the offset {start[t]} of {t or 'the source'} is older than the longest catch-up")
+            out += self.plan(start[t] if start.get("first") else start[t] - overlap, end[t], t)
+        return out or [Slice(0, 0, 0)]
+
 
 class PagedSource(DataSource):
+    """id, ts, record; with ``targets``, a JSON list, also target and error."""
+
     @classmethod
     def name(cls) -> str:
         return "paged"
 
     def schema(self) -> str:
-        return "id string, ts bigint, record string"
+        return "id string, ts bigint, record string" + ", target string, error string" * ("targets" in self.options)
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options)
 
+    def streamReader(self, schema) -> PagedStreamReader:
+        return PagedStreamReader(self.options)
+
 
 def register(spark: SparkSession) -> None:
     ship(spark, "heliograph")
