@@ -52,7 +52,7 @@ WITH p AS (
   SELECT user_id, event_id, event_type AS t, CAST(value > 50 AS VARCHAR) AS l, lag(event_type) OVER w AS pt, lag(CAST(value > 50 AS VARCHAR)) OVER w AS pl, row_number() OVER w AS v
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT user_id, event_id, 'event_type' AS field, pt AS old, t AS new FROM p WHERE v > 1 AND pt IS DISTINCT FROM t
-UNION ALL SELECT user_id, event_id, 'large' AS field, upper(pl[1]) || pl[2:] AS old, upper(l[1]) || l[2:] AS new FROM p WHERE v > 1 AND pl IS DISTINCT FROM l"""
+UNION ALL SELECT user_id, event_id, 'large' AS field, pl AS old, l AS new FROM p WHERE v > 1 AND pl IS DISTINCT FROM l"""
 
 
 def seen_members_stream(spark, d):

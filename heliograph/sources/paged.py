@@ -136,7 +136,7 @@ class _Pages:
     """What reading whole and reading as a stream share."""
 
     def __init__(self, options: dict):
-        self.options = dict(options)
+        self.options = options  # names in any case
         self.targets = json.loads(self.options.get("targets", "[]")) or [""]
 
     def _transport(self, target: str = ""):

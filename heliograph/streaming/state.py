@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from heliograph.shipping import ship
@@ -28,6 +29,12 @@ def _text(value: object) -> str | None:
     return None if value is None or (not isinstance(value, str) and pd.isna(value)) else str(value)
 
 
+def _rows(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """Rows to emit; text stays Python objects, as Arrow strings in several chunks don't fit the struct that Spark makes of them."""
+    out = pd.DataFrame(rows, columns=columns)
+    return out.astype({c: object for c in ("id", "field", "old", "new", "member") if c in columns})
+
+
 def _sorted(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     """A key's rows of one micro-batch, in order; what a trigger brings of a key bounds it."""
     return pd.concat(list(batches)).sort_values(order, kind="stable")
@@ -55,7 +62,7 @@ class SnapshotProcessor(StatefulProcessor):
             before = now
         for f, v in before.items():
             self.snapshot.updateValue((f,), (v,))
-        yield pd.DataFrame(out, columns=["id", *self.order, "field", "old", "new"])
+        yield _rows(out, ["id", *self.order, "field", "old", "new"])
 
     def close(self) -> None:
         pass
@@ -84,11 +91,11 @@ class StatusProcessor(StatefulProcessor):
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.silent_ms)
-        yield pd.DataFrame(out, columns=["id", *self.order, "old", "new"])
+        yield _rows(out, ["id", *self.order, "old", "new"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.value.clear()
-        yield pd.DataFrame({c: [] for c in ["id", *self.order, "old", "new"]})
+        yield _rows([], ["id", *self.order, "old", "new"])
 
     def close(self) -> None:
         pass
@@ -112,7 +119,7 @@ class SeenProcessor(StatefulProcessor):
         kept = list(dict.fromkeys([*reversed(arrived), *seen]))[: self.most]
         if kept:
             self.seen.put([(x,) for x in kept])
-        yield pd.DataFrame({"id": [_text(key[0])] * len(fresh), "member": fresh})
+        yield _rows([(_text(key[0]), x) for x in fresh], ["id", "member"])
 
     def close(self) -> None:
         pass
@@ -126,6 +133,7 @@ def snapshot_stream(stream: DataFrame, key: str, order: list[str], fields: list[
     """id, the columns of ``order``, field, old, new: changes between a record's versions, over all batches; first sights are a baseline."""
     use_rocksdb(stream.sparkSession)
     schema = f"id string, {_order_types(stream, order)}field string, old string, new string"
+    stream = stream.select(key, *order, *[F.col(f).cast("string") for f in fields])  # values as Spark writes them: pandas would make whole numbers with nulls floats
     return stream.groupBy(key).transformWithStateInPandas(SnapshotProcessor(fields, order, ttl_ms), schema, "append", "ProcessingTime" if ttl_ms else "None")
 
 
@@ -133,12 +141,14 @@ def status_stream(stream: DataFrame, key: str, order: list[str], status: str, si
     """id, the columns of ``order``, old, new: changes of status; a record's first status is none."""
     use_rocksdb(stream.sparkSession)
     schema = f"id string, {_order_types(stream, order)}old string, new string"
+    stream = stream.select(key, *order, F.col(status).cast("string"))
     return stream.groupBy(key).transformWithStateInPandas(StatusProcessor(status, order, silent_ms), schema, "append", "ProcessingTime" if silent_ms else "None")
 
 
 def seen_stream(stream: DataFrame, key: str, order: list[str], member: str, most: int = 200) -> DataFrame:
     """id, member: members that a key hasn't had among its newest ``most``."""
     use_rocksdb(stream.sparkSession)
+    stream = stream.select(key, *order, F.col(member).cast("string"))
     return stream.groupBy(key).transformWithStateInPandas(SeenProcessor(member, order, most), "id string, member string", "append", "None")
 
 
