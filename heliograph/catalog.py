@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliograph.plans import activity, digest, items, streams, text
+from heliograph.plans import activity, digest, items, links, streams, text
 from heliograph.shipping import ship
 
 
@@ -16,7 +16,7 @@ def _shipped(run):
     return query
 
 
-_ALL = activity.ALL | digest.ALL | text.ALL | items.ALL | streams.ALL
+_ALL = activity.ALL | digest.ALL | text.ALL | items.ALL | streams.ALL | links.ALL
 QUERIES = {name: _shipped(run) for name, (run, _) in _ALL.items()}
 ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
 

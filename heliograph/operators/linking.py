@@ -5,8 +5,14 @@ Edges are (left, right, kind, value, score) with left < right; evidence is folde
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +82,8 @@ def title_edges(papers: DataFrame, how: Linking = Linking()) -> DataFrame:
     """Same titles, then similar ones.  ``papers``: id, title, authors.
 
     Pairs with the same title aren't tried again when their authors differ.  Similar
-    titles share tokens of at least three characters that at most ``block_size`` titles have.
+    titles share tokens of at least three characters that at most ``block_size`` titles
+    have; ``token_pairs`` finds them without all pairs of a token.
     """
     ship(papers.sparkSession, "heliograph")
     p = _papers(papers)
@@ -86,9 +93,7 @@ def title_edges(papers: DataFrame, how: Linking = Linking()) -> DataFrame:
     good = same.filter(F.col("o") >= how.author_overlap)
     exact = good.select(*_edge(F.col("a"), F.col("b"), "exact_title", F.col("t"), 0.98)).unionByName(good.select(*_edge(F.col("a"), F.col("b"), "author_overlap", F.call_function("format_number", F.col("o"), F.lit("0.000")), F.col("o"))))
 
-    token = long.select("id", F.explode(F.array_distinct(F.split("t", " "))).alias("w")).filter(F.length("w") >= how.token_length)
-    token = token.join(token.groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") <= how.block_size).select("w"), "w")
-    pairs = token.select("w", F.col("id").alias("a")).join(token.select("w", F.col("id").alias("b")), "w").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).filter(F.col("n") >= how.shared_tokens)
+    pairs = token_pairs(long.select("id", F.length("t").alias("n"), F.array_distinct(F.split("t", " ")).alias("ws")), how)
     pairs = pairs.join(same.select("a", "b"), ["a", "b"], "left_anti")
     near = pairs.join(p.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("k").alias("ka")), "a").join(p.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("k").alias("kb")), "b")
     near = near.withColumn("o", overlap(F.col("ka"), F.col("kb"))).filter(F.col("o") >= how.author_overlap)
@@ -99,6 +104,28 @@ def title_edges(papers: DataFrame, how: Linking = Linking()) -> DataFrame:
     return exact.unionByName(fuzzy)
 
 
+def token_pairs(titles: DataFrame, how: Linking = Linking()) -> DataFrame:
+    """a < b: titles (id, n characters, ws distinct words) that share ``how.shared_tokens`` words that few titles have, and whose lengths allow the similarity.
+
+    A set-similarity join.  A title's words are sorted from rare to common; two titles that
+    share so many must meet in a word before their last ones, so only that prefix is
+    indexed.  A pair's lengths differ by a bounded factor, so a word's titles are dealt
+    out by bands of length and meet in two of them.  A pair is made at its first common
+    word alone, and only where enough words follow on either side: no pair comes twice.
+    """
+    least, t = how.similarity / (2 - how.similarity), how.shared_tokens  # the shorter over the longer
+    word = titles.select("id", F.explode("ws").alias("w")).filter(F.length("w") >= how.token_length)
+    few = word.groupBy("w").agg(F.count("*").alias("df")).filter(F.col("df") <= how.block_size)
+    sets = word.join(few, "w").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("ws")).filter(F.size("ws") >= t)
+    sets = titles.select("id", "n").join(sets, "id").withColumn("prefix", F.slice("ws", F.lit(1), F.size("ws") - (t - 1)))
+    keyed = sets.select("*", F.posexplode("prefix").alias("at", "w"), F.floor(F.log(F.col("n").cast("double")) / (math.log(1 / least) * (1 + 1e-9))).alias("band"))
+    side = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("id", "n", "ws", "prefix", "at")]
+    short = keyed.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1))).select("w", "band", *side("1"))
+    meet = short.join(keyed.select("w", "band", *side("2")), ["w", "band"]).filter("n1 < n2 or (n1 = n2 and id1 < id2)").filter(2.0 * F.col("n1") >= how.similarity * (F.col("n1") + F.col("n2")))
+    meet = meet.filter(F.least(F.size("ws1") - F.col("at1"), F.size("ws2") - F.col("at2")) >= t).filter(F.get(F.array_intersect("prefix1", "prefix2"), F.lit(0)) == F.col("w"))
+    return meet.filter(F.size(F.array_intersect("ws1", "ws2")) >= t).select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b"))
+
+
 def _papers(papers: DataFrame) -> DataFrame:
     """id, t, k: normalised titles and author keys; authors are normalised once a name."""
     names = papers.select("id", F.explode("authors").alias("name")).withColumn("n", normalize_names(F.col("name")))
@@ -106,6 +133,21 @@ def _papers(papers: DataFrame) -> DataFrame:
     return papers.select("id", normalize_names(F.col("title")).alias("t")).join(keys, "id", "left").withColumn("k", F.coalesce("k", F.array().cast("array<string>")))
 
 
+def contained_sets(small: DataFrame, large: DataFrame) -> DataFrame:
+    """a, b: small sets (a, wa) all of whose words are in a large one (b, wb); sets have no repeats, and an empty one is in none.
+
+    Each small set is indexed by the rarest of its words among the large ones alone, so
+    a word that all sets have is a key only where a set has no rarer one; what meets there
+    is verified as a whole.
+    """
+    has = large.select("b", F.explode("wb").alias("w"))
+    asked = small.select("a", F.explode("wa").alias("w"))
+    df = has.join(asked.select("w").distinct(), "w", "left_semi").groupBy("w").agg(F.count("*").alias("df"))
+    rarest = asked.join(df, "w", "left").groupBy("a").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "w")).alias("r")).filter("r.df > 0")
+    meet = rarest.select("a", F.col("r.w").alias("w")).join(has, "w").select("a", "b")
+    return meet.join(small, "a").join(large, "b").filter(F.size(F.array_except("wa", "wb")) == 0).select("a", "b")
+
+
 def repository_edges(repositories: DataFrame, papers: DataFrame, linked: DataFrame, how: Linking = Linking()) -> DataFrame:
     """Repositories whose name's tokens all are in a paper's title, with a topic in common, unless already linked.
 
@@ -114,9 +156,9 @@ def repository_edges(repositories: DataFrame, papers: DataFrame, linked: DataFra
     ship(papers.sparkSession, "heliograph")
     r = repositories.select(F.col("id").alias("a"), normalize_names(F.col("name")).alias("n"), F.col("topics").alias("ta"))
     r = r.withColumn("flat", F.replace("n", F.lit(" "), F.lit(""))).filter((F.length("flat") >= how.name_characters) & ~F.col("flat").isin(*GENERIC_NAMES))
-    need = r.select("a", "n", "ta", F.array_distinct(F.split("n", " ")).alias("ws")).withColumn("need", F.size("ws"))
-    p = papers.select(F.col("id").alias("b"), F.array_distinct(F.split(normalize_names(F.col("title")), " ")).alias("ws"), F.col("topics").alias("tb"))
-    hits = need.select("a", "need", F.explode("ws").alias("w")).join(p.select("b", F.explode("ws").alias("w")), "w").groupBy("a", "b", "need").agg(F.count("*").alias("got")).filter("got = need").select("a", "b")
+    need = r.select("a", "n", "ta", F.array_distinct(F.split("n", " ")).alias("wa"))
+    p = papers.select(F.col("id").alias("b"), F.array_distinct(F.split(normalize_names(F.col("title")), " ")).alias("wb"), F.col("topics").alias("tb"))
+    hits = contained_sets(need.select("a", "wa"), p.select("b", "wb"))
     pairs = hits.join(need.select("a", "n", "ta"), "a").join(p.select("b", "tb"), "b").withColumn("shared", F.array_sort(F.array_intersect("ta", "tb")))
     if how.require_topics:
         pairs = pairs.filter(F.size("shared") > 0)
@@ -159,20 +201,78 @@ def components(edges: DataFrame, left: str = "left", right: str = "right") -> Da
             return labels.select("node", F.col("label").alias("component"))
 
 
+def _hash_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """component, digest: a hash of each component's members, which come in order; a batch of members is in memory at a time."""
+    last, digest, kind = None, None, None
+    for batch in batches:
+        component, nodes, kind = batch.column("component"), batch.column("node").cast(pa.string()).to_pylist(), batch.schema.field("component").type
+        ends = [*(np.flatnonzero(pc.not_equal(component[1:], component[:-1]).to_numpy(zero_copy_only=False)) + 1).tolist(), len(nodes)] if nodes else []
+        out: list[tuple[object, str]] = []
+        for start, end in zip([0, *ends], ends):
+            c = component[start].as_py()
+            if digest is None or c != last:
+                if digest is not None:
+                    out.append((last, digest.hexdigest()))
+                last, digest = c, hashlib.sha256()
+            else:
+                digest.update(b"\n")
+            digest.update("\n".join(nodes[start:end]).encode())
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], kind), pa.array([x for _, x in out], pa.string())], names=["component", "digest"])
+    if digest is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([last], kind), pa.array([digest.hexdigest()])], names=["component", "digest"])
+
+
+def entity_members(edges: DataFrame) -> DataFrame:
+    """entity_id, node: a row for each member of components of two or more, named by a hash of the sorted members.
+
+    A component's members pass through one task in order, sorted by Spark, which spills;
+    they are never gathered, so its size has no bound.
+    """
+    ship(edges.sparkSession, "heliograph")
+    members = written(components(edges))
+    kind = dict(members.dtypes)["component"]
+    dealt = members.select("component", "node").repartition("component").sortWithinPartitions("component", "node")
+    names = dealt.mapInArrow(_hash_members, f"component {kind}, digest string")
+    return members.join(names, "component").select(F.concat(F.lit("entity:"), F.substring("digest", 1, 16)).alias("entity_id"), "node")
+
+
 def entities(edges: DataFrame) -> DataFrame:
-    """entity_id, members: components of two or more, named by a hash of their sorted members."""
-    groups = components(edges).groupBy("component").agg(F.array_sort(F.collect_list("node")).alias("members"))
-    return groups.select(F.concat(F.lit("entity:"), F.substring(F.sha2(F.array_join("members", "\n"), 256), 1, 16)).alias("entity_id"), "members")
+    """entity_id, members: ``entity_members`` with the sorted members of each entity in one row; for entities of few members."""
+    return entity_members(edges).groupBy("entity_id").agg(F.array_sort(F.collect_list("node")).alias("members"))
+
+
+def stars(keyed: DataFrame, key: str, node: str) -> tuple[DataFrame, DataFrame]:
+    """Classes and links of nodes that share a key, without a pair for each two: (key, hub, nodes) and (left, right), each member to its class's smallest.
+
+    A key that a third of all nodes have is as many links as it has nodes; what the links
+    connect is what all pairs connect.  ``star_pairs`` makes a class's pairs on request.
+    """
+    members = keyed.select(F.col(key).alias("key"), F.col(node).alias("node")).filter("key is not null and node is not null").distinct()
+    classes = members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("nodes")).filter("nodes > 1")
+    links = members.join(classes, "key").filter("node <> hub").select(F.col("hub").alias("left"), F.col("node").alias("right")).distinct()
+    return classes, links
+
+
+def star_pairs(keyed: DataFrame, key: str, node: str, most: int) -> DataFrame:
+    """key, a, b: all pairs of the classes of at most ``most`` nodes; larger ones stay links to a hub, which ``stars`` has."""
+    members = keyed.select(F.col(key).alias("key"), F.col(node).alias("node")).filter("key is not null and node is not null").distinct()
+    small = members.join(members.groupBy("key").agg(F.count("*").alias("nodes")).filter(F.col("nodes").between(2, most)).select("key"), "key")
+    return small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").filter("a < b")
 
 
 def link(items: DataFrame, identifiers: DataFrame, how: Linking = Linking()) -> tuple[DataFrame, DataFrame]:
-    """Edges with evidence, and entities.  Order matters: names link only what nothing else has."""
+    """Edges with evidence, and entities.  Order matters: names link only what nothing else has.
+
+    Edges have every pair that shares an identifier, as evidence is by pair; entities come
+    from star links, so they don't read those pairs.
+    """
     papers = items.filter("kind = 'paper'")
-    found = explicit_edges(items).unionByName(identifier_edges(identifiers)).unionByName(title_edges(papers.select("id", "title", "authors"), how))
-    found = written(found)  # read three times below
+    other = written(explicit_edges(items).unionByName(title_edges(papers.select("id", "title", "authors"), how)))
+    found = other.unionByName(identifier_edges(identifiers))
     repositories = items.filter("kind = 'repository'").select("id", F.element_at(F.split("title", "/"), -1).alias("name"), "topics")
-    found = found.unionByName(repository_edges(repositories, papers.select("id", "title", "topics"), found, how))
-    return fold_evidence(found), entities(found)
+    named = written(repository_edges(repositories, papers.select("id", "title", "topics"), found, how))
+    _, shared = stars(identifiers, "identifier", "id")
+    return fold_evidence(found.unionByName(named)), entities(other.unionByName(named).select("left", "right").unionByName(shared))
 
 
 def with_related(items: DataFrame, edges: DataFrame) -> DataFrame:
