@@ -12,6 +12,7 @@ from heliograph.functions.numbers import round_even
 from heliograph.functions.text import anchor_matches, char_ngrams, contains_phrase, normalize_words, tokens, word_ngrams
 from heliograph.functions.udfs import phrases_in
 from heliograph.shipping import ship
+from heliograph.storage import written
 
 
 #: Aliases up to this number are sent to all tasks (some 20 MB); more are joined.
@@ -115,18 +116,64 @@ def select_topics(scores: DataFrame, key: str, how: Profiles = Profiles()) -> Da
     return out.filter((F.col("similarity") >= how.minimum) & (F.col("similarity") >= F.col("best") * how.relative) & (F.col("rank") <= how.most_topics)).drop("best")
 
 
+def known_vectors(documents: DataFrame, key: str, text: str, idf: DataFrame, how: Profiles = Profiles()) -> DataFrame:
+    """``vectors`` of ``features`` that ``idf`` has; others are dropped before anything is counted or shuffled by document."""
+    words = tokens(normalize_words(F.col(text)))
+    w = F.transform(word_ngrams(words, how.word_low, how.word_high), lambda g: F.concat(F.lit("w:"), g))
+    c = F.transform(char_ngrams(words, how.char_low, how.char_high), lambda g: F.concat(F.lit("c:"), g))
+    counts = documents.select(key, F.explode(F.concat(w, c)).alias("feature")).join(idf, "feature").groupBy(key, "feature", "idf").agg(F.count("*").alias("tf"))
+    kind = F.when(F.col("feature").startswith("w:"), how.word_weight).otherwise(how.char_weight)
+    raw = counts.select(key, "feature", ((1 + F.log("tf")) * F.col("idf") * kind).alias("value"))
+    norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
+    return raw.select(key, "feature", (F.col("value") / norm).alias("value"))
+
+
+def split_profiles(profiles: DataFrame, light: float) -> DataFrame:
+    """``profiles`` (topic, feature, value) with ``heavy``, and ``rest``: the norm of a topic's features that aren't.
+
+    A topic's smallest values are light as long as their norm is at most ``light``: those
+    are most of its features, the ones most topics have.  Of a unit vector's product with
+    the topic, they make up ``rest`` at most.
+    """
+    upto = F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("topic").orderBy("value", "feature").rowsBetween(Window.unboundedPreceding, 0))
+    out = profiles.withColumn("heavy", upto > light * light)
+    return out.withColumn("rest", F.sqrt(F.sum(F.when(~F.col("heavy"), F.col("value") * F.col("value")).otherwise(0.0)).over(Window.partitionBy("topic"))))
+
+
+def near_topics(mine: DataFrame, key: str, profiles: DataFrame, allowed: DataFrame | None = None, how: Profiles = Profiles()) -> DataFrame:
+    """key, topic, similarity: every pair that ``select_topics`` may choose, and no pair whose bound rules it out.
+
+    Heavy features alone meet documents first; light ones, most topics' commonest, add
+    less than the minimum, so a pair without a heavy one can't be chosen.  What heavy ones add
+    up to is a lower bound, with the topic's ``rest`` an upper one; a topic whose upper bound is below the minimum, or
+    below the relative threshold of the document's best lower bound, is left out.  Only
+    the few that stay meet the light features.  ``allowed``: key and an array of topics
+    that may be chosen, where topics are gated.
+    """
+    slack = 1e-6  # similarities are rounded before they are compared
+    p = split_profiles(profiles, max(0.0, how.minimum - 2 * slack))
+    first = mine.join(p.filter("heavy").select("topic", "feature", F.col("value").alias("__v"), "rest"), "feature").groupBy(key, "topic").agg(F.sum(F.col("value") * F.col("__v")).alias("low"), F.first("rest").alias("rest"))
+    if allowed is not None:
+        first = first.join(allowed, key).filter(F.array_contains("__allowed", F.col("topic"))).drop("__allowed")
+    best = F.max("low").over(Window.partitionBy(key))
+    kept = first.withColumn("best", best).filter((F.col("low") + F.col("rest") + slack >= how.minimum) & (F.col("low") + F.col("rest") + slack >= how.relative * F.col("best"))).select(key, "topic", "low")
+    more = kept.select(key, "topic").join(mine, key).join(p.filter("not heavy").select("topic", "feature", F.col("value").alias("__v")), ["topic", "feature"]).groupBy(key, "topic").agg(F.sum(F.col("value") * F.col("__v")).alias("more"))
+    return kept.join(more, [key, "topic"], "left").select(key, "topic", (F.col("low") + F.coalesce("more", F.lit(0.0))).alias("similarity"))
+
+
 def semantic_topics(documents: DataFrame, key: str, title: str, text: str, profile_texts: DataFrame, anchors: dict[str, tuple[list[str], list[list[str]]]] | None = None, how: Profiles = Profiles()) -> DataFrame:
     """key, topic, similarity, rank.  ``profile_texts``: topic, text, a row for each topic; the title counts twice."""
     counts = features(profile_texts, "topic", "text", how)
-    idf = inverse_frequency(counts, "topic")
-    profiles = vectors(counts, "topic", idf, how)
+    idf = written(inverse_frequency(counts, "topic"))
+    profiles = written(vectors(counts, "topic", idf, how))
     docs = documents.select(key, F.concat_ws(" ", title, title, text).alias("__all"), normalize_words(F.concat_ws(" ", title, text)).alias("__norm"))
-    mine = vectors(features(docs, key, "__all", how), key, idf, how)
-    scores = cosine(mine, key, profiles).withColumn("similarity", round_even(F.col("similarity"), 6))
+    mine = written(known_vectors(docs, key, "__all", idf, how))  # read twice
+    gate = None
     if anchors:
+        free = profiles.select("topic").distinct().filter(~F.col("topic").isin(*anchors)).agg(F.collect_list("topic").alias("__free"))  # the topics, one row
         allowed = F.array_compact(F.array(*[F.when(anchored(F.col("__norm"), *rule), F.lit(t)) for t, rule in anchors.items()]))
-        gate = docs.select(key, allowed.alias("__allowed"))
-        scores = scores.join(gate, key).filter(~F.col("topic").isin(*anchors) | F.array_contains("__allowed", F.col("topic"))).drop("__allowed")
+        gate = docs.crossJoin(F.broadcast(free)).select(key, F.concat(allowed, F.col("__free")).alias("__allowed"))
+    scores = near_topics(mine, key, profiles, gate, how).withColumn("similarity", round_even(F.col("similarity"), 6))
     return select_topics(scores, key, how)
 
 
@@ -186,4 +233,4 @@ def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Co
     return asked.unionByName(scored.filter(~ask).withColumn("result", F.when(by_lexical, lexical).otherwise(semantic)))
 
 
-__all__ = ["Cascade", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "lexical_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]
+__all__ = ["Cascade", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "known_vectors", "lexical_topics", "near_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]

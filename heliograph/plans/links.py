@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from heliograph.functions import urls
-from heliograph.operators import linking
-from heliograph.plans.text import _CANON
+from heliograph.functions.numbers import round_floor
+from heliograph.operators import linking, matching
+from heliograph.plans.text import _CANON, _TOKENS
 
 
 def _t(spark, d, name):
@@ -62,4 +63,31 @@ WITH p AS (SELECT p_partkey, regexp_split_to_array(lower(p_name), '[^a-z0-9]+')
 n AS (SELECT DISTINCT CASE WHEN w[1] = w[-1] THEN [w[1]] ELSE [w[1], w[-1]] END AS wa FROM p WHERE len(w) >= 2)
 SELECT array_to_string(wa, '_') AS name, count(*) AS titles, min(p_partkey) AS first FROM n JOIN p ON list_has_all(p.w, n.wa) GROUP BY ALL"""
 
-ALL = {"identifier_stars": (identifier_stars, STARS), "part_stars": (part_stars, PART_STARS), "entity_chains": (entity_chains, ENTITY_CHAINS), "names_in_titles": (names_in_titles, NAMES_IN_TITLES)}
+def semantic_topics(spark, d):
+    """Every whole document against a profile of each benchmark item: word and character n-grams, pruned by bounds."""
+    docs = _t(spark, d, "documents").select("doc_id", F.lit("").alias("title"), "text")
+    profiles = _t(spark, d, "benchmark").select(F.format_string("t%04d", "item_id").alias("topic"), "text")
+    out = matching.semantic_topics(docs, "doc_id", "title", "text", profiles)
+    return out.select("doc_id", "topic", round_floor(F.col("similarity"), 4).alias("similarity"), F.col("rank").cast("long").alias("rank"))
+
+
+def _features(table: str, key: str) -> str:
+    """SQL for key, feature, tf of a table's texts."""
+    words = f"(SELECT {key} AS k, {_TOKENS.format(c='text')} AS t FROM {table})"
+    grams = " UNION ALL ".join(f"SELECT k, 'c:' || p[i:i + {n - 1}] AS feature FROM (SELECT k, p, unnest(range(1, len(p) - {n - 2})) AS i FROM (SELECT k, ' ' || unnest(t) || ' ' AS p FROM {words}) WHERE len(p) >= {n})" for n in (3, 4, 5))
+    return f"SELECT k, feature, count(*) AS tf FROM (SELECT k, 'w:' || unnest(t) AS feature FROM {words} UNION ALL SELECT k, 'w:' || t[i] || ' ' || t[i + 1] FROM (SELECT k, t, unnest(range(1, len(t))) AS i FROM {words}) UNION ALL {grams}) GROUP BY 1, 2"
+
+
+SEMANTIC = f"""
+WITH pc AS ({_features('benchmark', "printf('t%04d', item_id)")}),
+idf AS (SELECT feature, ln((1 + (SELECT count(DISTINCT k) FROM pc))::DOUBLE / (1 + count(*))::DOUBLE) + 1 AS idf FROM pc GROUP BY feature),
+dc AS (SELECT c.* FROM ({_features('documents', 'doc_id')}) c SEMI JOIN idf USING (feature)),
+pv AS (SELECT k, feature, (1 + ln(tf)) * idf * CASE WHEN starts_with(feature, 'w:') THEN 0.7::DOUBLE ELSE 0.3::DOUBLE END AS v FROM pc JOIN idf USING (feature)),
+dv AS (SELECT k, feature, (1 + ln(tf)) * idf * CASE WHEN starts_with(feature, 'w:') THEN 0.7::DOUBLE ELSE 0.3::DOUBLE END AS v FROM dc JOIN idf USING (feature)),
+pn AS (SELECT k, sqrt(sum(v * v)) AS n FROM pv GROUP BY k), dn AS (SELECT k, sqrt(sum(v * v)) AS n FROM dv GROUP BY k),
+s AS (SELECT dv.k AS doc_id, pv.k AS topic, round(sum(dv.v / dn.n * pv.v / pn.n), 6) AS similarity FROM dv JOIN pv USING (feature) JOIN dn ON dn.k = dv.k JOIN pn ON pn.k = pv.k GROUP BY 1, 2),
+r AS (SELECT *, max(similarity) OVER (PARTITION BY doc_id) AS best, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, topic) AS rank FROM s)
+SELECT doc_id, topic, floor(similarity * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE AS similarity, rank FROM r WHERE similarity >= 0.12::DOUBLE AND similarity >= best * 0.68::DOUBLE AND rank <= 4"""
+
+
+ALL = {"semantic_topics": (semantic_topics, SEMANTIC), "identifier_stars": (identifier_stars, STARS), "part_stars": (part_stars, PART_STARS), "entity_chains": (entity_chains, ENTITY_CHAINS), "names_in_titles": (names_in_titles, NAMES_IN_TITLES)}
