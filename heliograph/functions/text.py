@@ -21,10 +21,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def casefold(text: Column) -> Column:
     """Lower case, and the folds that add ASCII letters; enough before everything outside a-z0-9 becomes a space."""
-    out = F.lower(text)
+    low = out = F.lower(text)
     for a, b in _FOLDS:
         out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return F.when(low.rlike("[" + "".join(a for a, _ in _FOLDS) + "]"), out).otherwise(low)  # few texts have one, and each fold is a pass over the text
 
 
 def normalize_words(text: Column) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.functions.numbers import clamp, round_even
-from heliograph.functions.text import casefold, contains_phrase, let, normalize_words
+from heliograph.functions.text import casefold, let, normalize_words
+from heliograph.operators.ingest import keep_first
+from heliograph.storage import written
 
 
 @dataclass(frozen=True)
@@ -34,15 +36,9 @@ class Quality:
 
 
 def _says(text: Column, terms: tuple[str, ...]) -> Column:
+    """Whether normalised text has one of the terms as whole words: one compiled pattern, so a text is walked once for all terms."""
     plain = [p for p in (re.sub("[^a-z0-9]+", " ", t.casefold()).strip() for t in terms) if p]
-
-    def some(t: Column) -> Column:
-        out = F.lit(False)
-        for p in plain:
-            out = out | contains_phrase(t, F.lit(p))
-        return out
-
-    return let(text, some)
+    return F.concat(F.lit(" "), text, F.lit(" ")).rlike(f" (?:{'|'.join(plain)}) ") if plain else F.lit(False)
 
 
 def research_quality(name: Column, description: Column, topics: Column, homepage: Column, stars: Column, has_venue: Column, readme: Column | None = None, how: Quality = Quality(), round_to=round_even) -> Column:
@@ -116,7 +112,7 @@ def lexical_score(best: DataFrame, key: str, query_topics: str, evidence: float
     The best topic and a bounded share of the others add up, and once more ``evidence``
     if a query's topic matched better than that.
     """
-    matched = best.groupBy(key).agg(F.first(query_topics).alias("asked"), F.map_from_entries(F.collect_list(F.when(F.col("topic").isNotNull(), F.struct("topic", "score")))).alias("m"))
+    matched = best.groupBy(key).agg(F.min(query_topics).alias("asked"), F.map_from_entries(F.collect_list(F.when(F.col("topic").isNotNull(), F.struct("topic", "score")))).alias("m"))
     asked = F.coalesce("asked", F.array().cast("array<string>"))
     topics = F.array_sort(F.array_union(F.map_keys("m"), asked))
     scores = F.transform(topics, lambda t: F.greatest(F.coalesce(F.element_at("m", t), F.lit(0.0)), F.when(F.array_contains(asked, t), F.lit(evidence)).otherwise(0.0)))
@@ -161,12 +157,13 @@ def update_registry(registry: DataFrame, repositories: DataFrame, observed_at: s
 
     ``registry`` and ``repositories``: repo_id, full_name, url, topics, stars, research;
     the registry also first_promoted_at, last_observed_at; repositories also fork,
-    archived, category.  Renewed entries keep their first promotion.  The order is tier,
+    archived, category; of rows with one repo_id the one with most stars counts.  Renewed entries keep their first promotion.  The order is tier,
     research score, logarithm of stars, last observation; equal ones by identifier.
     """
     columns = ["repo_id", "full_name", "url", "topics", "stars", "research"]
     good = repositories.filter(auto_watch_eligible(F.col("fork"), F.col("archived"), F.col("category"), F.col("stars"), F.col("research"), how))
-    good = good.select(*[F.array_sort(F.array_distinct("topics")).alias("topics") if c == "topics" else F.col(c) for c in columns]).dropDuplicates(["repo_id"])
+    good = good.select(*[F.array_sort(F.array_distinct("topics")).alias("topics") if c == "topics" else F.col(c) for c in columns])
+    good = written(keep_first(good, ["repo_id"], [F.desc("stars"), F.desc("research"), F.asc("full_name"), F.asc("url")]))  # read twice
     new = good.join(registry.select("repo_id", "first_promoted_at"), "repo_id", "left").select(*columns, F.coalesce("first_promoted_at", F.lit(observed_at)).alias("first_promoted_at"), F.lit(observed_at).alias("last_observed_at"))
     old = registry.select(*new.columns).join(good.select("repo_id"), "repo_id", "left_anti")
     out = new.unionByName(old).withColumn("promotion_reasons", promotion_reasons(F.col("stars"), F.col("research"), how))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from heliograph.functions.numbers import round_even
 from heliograph.functions.text import anchor_matches, char_ngrams, contains_phrase, normalize_words, tokens, word_ngrams
@@ -187,6 +190,61 @@ class Cascade:
     most_candidates: int = 4
 
 
+@dataclass(frozen=True)
+class Outside:
+    """A classifier outside Spark: it gets lists of at most ``batch`` texts (title, text, candidates) and returns as many answers.
+
+    An answer has relevant, relevance and topics, or is null where it abstains.  When a
+    call fails, its texts are asked one by one, so a text that fails costs no other's
+    answer.  At most ``budget`` texts a run are asked, those first in ``order``; the others'
+    error says so.
+    """
+
+    call: Callable[[list[dict]], list[dict | None]]
+    batch: int = 16
+    budget: int | None = None
+    order: tuple[str, ...] = ("title", "text")
+
+    def ask(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with __said (null without an answer) and classifier_error."""
+        ship(rows.sparkSession, "heliograph")
+        call, batch_rows, schema = self.call, self.batch, rows.schema
+        said = pa.struct([("relevant", pa.bool_()), ("relevance", pa.float64()), ("topics", pa.list_(pa.string()))])
+
+        def answers(asked: list[dict]) -> list[tuple[dict | None, str | None]]:
+            try:
+                got = call(asked)
+                if len(got) != len(asked):
+                    raise ValueError(f"{len(got)} answers to {len(asked)} texts")
+                pa.array(got, said)  # answers of another shape are failures, too
+                return [(x, None) for x in got]
+            except Exception as e:
+                if len(asked) == 1:
+                    return [(None, f"{type(e).__name__}: {e}")]
+                return [a for one in asked for a in answers([one])]
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, batch_rows):
+                    part = whole.slice(at, batch_rows)
+                    texts = part.select(["title", "text", "__candidates"]).to_pylist()
+                    got = answers([{"title": t["title"], "text": t["text"], "candidates": t["__candidates"]} for t in texts])
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in got], said), pa.array([e for _, e in got], pa.string())], names=[*part.schema.names, "__said", "classifier_error"])
+
+        out = StructType([*schema.fields]).add("__said", StructType.fromDDL("relevant boolean, relevance double, topics array<string>")).add("classifier_error", "string")
+        if self.budget is None:
+            return rows.mapInArrow(each, out)
+        ranked = written(rows.withColumn("__at", F.xxhash64(*self.order)))
+        last = ranked.select("__at", *self.order).orderBy(*self.order, "__at").limit(self.budget)  # at most ``budget`` rows
+        first = last.groupBy(*[F.col(c).alias(f"__order_{c}") for c in self.order]).agg(F.count("*").alias("__quota"))
+        place = F.row_number().over(Window.partitionBy(*self.order).orderBy("__at"))
+        same = [F.col(c).eqNullSafe(F.col(f"__order_{c}")) for c in self.order]
+        dealt = ranked.withColumn("__place", place).join(first, functools.reduce(lambda a, b: a & b, same), "left").select(*rows.columns, (F.col("__place") <= F.coalesce("__quota", F.lit(0))).alias("__ask"))
+        dealt = written(dealt)  # the two sides below must agree
+        rest = dealt.filter("not __ask").select(*rows.columns, F.lit(None).cast("struct<relevant:boolean,relevance:double,topics:array<string>>").alias("__said"), F.lit(f"budget: more than {self.budget} texts").alias("classifier_error"))
+        return dealt.filter("__ask").select(*rows.columns).mapInArrow(each, out).unionByName(rest)
+
+
 def rejected(lexical: Column) -> Column:
     """The result of a text that no step accepts."""
     return F.struct(F.lit(False).alias("accepted"), lexical.alias("relevance"), F.array().cast("array<string>").alias("topics"), F.lit("rejected").alias("method"))
@@ -199,7 +257,7 @@ def decide(lexical: Column, lexical_minimum: float, similarity: Column, how: Pro
     return method, F.when(method == "lexical", lexical).when(method == "semantic_profile", semantic).otherwise(0.0)
 
 
-def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Column, Column, Column], Column] | None = None, how: Profiles = Profiles(), cascade: Cascade = Cascade()) -> DataFrame:
+def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Column, Column, Column], Column] | Outside | None = None, how: Profiles = Profiles(), cascade: Cascade = Cascade()) -> DataFrame:
     """``scored`` with result: accepted, relevance, topics, method.
 
     ``scored``: title, text, lexical (score), lexical_topics, semantic (an array of
@@ -208,7 +266,9 @@ def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Co
     rest, those whose best similarity lies in the band are given to ``classifier``, if
     there is one: a function of title, text and candidate topics that makes a struct
     relevant, relevance, topics, or null where it fails or abstains; its topics count
-    where they are candidates.  All others are accepted if similar enough.
+    where they are candidates.  As an ``Outside`` it is asked in batches, its failures stay
+    with their texts in the column ``classifier_error``, and those texts go on as if it
+    hadn't been asked.  All others are accepted if similar enough.
     """
     best = F.coalesce(F.get("semantic", F.lit(0))["similarity"], F.lit(0.0))
     topics = F.transform("semantic", lambda x: x["topic"])
@@ -225,12 +285,15 @@ def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Co
     candidates = F.slice(topics, 1, cascade.most_candidates)
     ask = ~by_lexical & (F.size("semantic") > 0) & best.between(cascade.ask_from, cascade.ask_to)
     # only texts in the band reach the classifier
-    asked = scored.filter(ask).withColumn("__said", classifier(F.col("title"), F.col("text"), candidates))
+    if isinstance(classifier, Outside):
+        asked = classifier.ask(scored.filter(ask).withColumn("__candidates", candidates)).drop("__candidates")
+    else:
+        asked = scored.filter(ask).withColumn("__said", classifier(F.col("title"), F.col("text"), candidates))
     chosen = F.array_sort(F.array_intersect(F.col("__said")["topics"], candidates))
     good = F.col("__said")["relevant"] & (F.size(chosen) > 0)
     outside = F.struct(good.alias("accepted"), F.when(good, round_even(F.least(F.greatest(F.col("__said")["relevance"], F.lit(0.0)), F.lit(1.0)), 4)).otherwise(low).alias("relevance"), F.when(good, chosen).otherwise(none).alias("topics"), F.lit("classifier").alias("method"))
     asked = asked.withColumn("result", F.when(F.col("__said").isNull(), semantic).otherwise(outside)).drop("__said")
-    return asked.unionByName(scored.filter(~ask).withColumn("result", F.when(by_lexical, lexical).otherwise(semantic)))
+    return asked.unionByName(scored.filter(~ask).withColumn("result", F.when(by_lexical, lexical).otherwise(semantic)), allowMissingColumns=True)
 
 
-__all__ = ["Cascade", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "known_vectors", "lexical_topics", "near_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]
+__all__ = ["Cascade", "Outside", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "known_vectors", "lexical_topics", "near_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]

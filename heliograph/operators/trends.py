@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.numbers import growth_percent, log_share_ratio, round_floor
+from heliograph.storage import written
 
 
 def daily_activity(activity: DataFrame, days: DataFrame) -> DataFrame:
@@ -86,3 +87,33 @@ def with_identity(items: DataFrame, entities: DataFrame) -> DataFrame:
 
 def rank_within(df: DataFrame, by: list[str], order: list[Column], name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def numbered(activity: DataFrame, name: str = "identity") -> DataFrame:
+    """identity, number: dense numbers from 0 in hashed buckets, a bucket's after those of the buckets before it; null identities have none."""
+    ids = activity.select(F.col(name).alias("identity")).filter("identity is not null").distinct()
+    ids = ids.withColumn("bucket", F.pmod(F.xxhash64("identity"), F.lit(256)))
+    ids = written(ids.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("identity")) - 1))
+    sizes = ids.groupBy("bucket").agg(F.count("*").alias("n"))  # 256 rows at most
+    start = sizes.select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    return ids.join(F.broadcast(start), "bucket").select("identity", (F.col("start") + F.col("place")).alias("number"))
+
+
+def daily_bitmaps(activity: DataFrame, numbers: DataFrame) -> DataFrame:
+    """day, topic, block, bits: the exact set of entities of each topic and day, a bitmap for each block of 32,768 numbers that has some.
+
+    Written once, it answers every window: sets of days are united by OR, and counts are
+    exact, which sums of daily counts aren't.
+    """
+    each = activity.select("day", "identity", F.explode("topics").alias("topic")).distinct().join(numbers, "identity")
+    each = each.select("day", "topic", F.bitmap_bucket_number("number").alias("block"), F.bitmap_bit_position("number").alias("bit"))
+    return each.groupBy("day", "topic", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def rolling_entities(bitmaps: DataFrame, days: DataFrame, windows: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """day, topic and entities_N for each window: distinct entities of the N days up to each of ``days`` (column day), of topics with any in the longest."""
+    longest = max(windows)
+    reach = bitmaps.withColumn("ahead", F.explode(F.sequence(F.lit(0), F.lit(longest - 1)))).withColumn("to", F.date_add("day", F.col("ahead")))
+    reach = reach.join(days.select(F.col("day").alias("to")), "to")
+    united = reach.groupBy("to", "topic", "block").agg(*[F.bitmap_or_agg(F.when(F.col("ahead") < n, F.col("bits"))).alias(f"b{n}") for n in windows])
+    return united.groupBy(F.col("to").alias("day"), "topic").agg(*[F.sum(F.coalesce(F.bitmap_count(f"b{n}"), F.lit(0))).alias(f"entities_{n}") for n in windows])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from heliograph.functions.numbers import numeric_int, round_floor
 from heliograph.functions.times import activity_date, half_open, instant, report_window, spine
 from heliograph.operators import changes, ingest, trends
-from heliograph.storage import shared_dir
+from heliograph.storage import shared_dir, written
 from heliograph.streaming import loads
 
 END = "2024-01-31 00:00:00"
@@ -174,11 +174,23 @@ def status_transitions(spark, d):
 
 TRANSITIONS = "SELECT conv_id, turn, old_role, role FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS old_role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS v FROM conversations) WHERE v > 1 AND old_role IS DISTINCT FROM role"
 
+def rolling_topic_entities(spark, d):
+    """Distinct users of each topic in the 7 and 30 days up to each of the last ten days, from one table of daily bitmaps."""
+    a = _activity(spark, d)
+    return trends.rolling_entities(written(trends.daily_bitmaps(a, trends.numbered(a))), spine(spark, LAST_DAY, 10))
+
+
+ROLLING = f"""
+WITH s AS (SELECT CAST(DATE '{LAST_DAY}' - CAST(i AS INTEGER) AS DATE) AS day FROM range(10) r(i)),
+e AS (SELECT DISTINCT {_DAY} AS d, json_extract_string(props, '$.k') AS topic, user_id FROM events)
+SELECT s.day, topic, count(DISTINCT CASE WHEN d > s.day - 7 THEN user_id END) AS entities_7, count(DISTINCT user_id) AS entities_30
+FROM s JOIN e ON d <= s.day AND d > s.day - 30 GROUP BY 1, 2"""
+
 _M7, _M14 = _momentum(7), _momentum(14)
 ALL = {
     "topic_momentum_7d": _M7, "topic_momentum_14d": _M14, "daily_activity": (daily_activity, DAILY_ACTIVITY), "daily_kind_counts": (daily_kind_counts, DAILY_KINDS),
     "topic_daily_entities": (topic_daily_entities, TOPIC_DAILY), "new_entity_growth": (new_entity_growth, GROWTH), "first_seen_daily": (first_seen_daily, FIRST_SEEN),
     "recurring_entities": (recurring_entities, RECURRING), "report_window_filter": (report_window_filter, REPORT_WINDOW), "idempotent_append": (idempotent_append, APPEND),
     "snapshot_changes": (snapshot_changes, SNAPSHOT), "json_props": (json_props, JSON_PROPS), "tumbling_window_counts": (tumbling_window_counts, TUMBLING),
-    "watermark_dedupe": (watermark_dedupe, DEDUPE), "status_transitions": (status_transitions, TRANSITIONS),
+    "rolling_topic_entities": (rolling_topic_entities, ROLLING), "watermark_dedupe": (watermark_dedupe, DEDUPE), "status_transitions": (status_transitions, TRANSITIONS),
 }

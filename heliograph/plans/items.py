@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from heliograph.functions.numbers import round_floor
 from heliograph.operators import discovery, identifiers, matching, watch
 from heliograph.plans.text import _CANON, _NORM
+from heliograph.storage import written
 
 _NOW = "2024-02-01T00:00:00Z"
 _BEFORE = "2024-01-01T00:00:00Z"
@@ -88,6 +89,7 @@ SELECT doc_id, score, category, array_to_string(list_filter(['baseline', CASE WH
 def _registry(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """A registry of long documents, some of which aren't eligible now, and all documents as repositories."""
     r = _repositories(spark, d).select(F.format_string("%08d", "doc_id").alias("repo_id"), F.concat_ws("/", "source", "doc_id").alias("full_name"), F.lit("u").alias("url"), F.array("lang").alias("topics"), F.col("n_chars").alias("stars"), F.col("q.score").alias("research"), (F.col("lang") == "es").alias("fork"), F.lit(False).alias("archived"), F.col("q.category").alias("category"))
+    r = written(r)  # scored once, read by each side of what follows
     old = r.filter("stars > 3000").select("repo_id", "full_name", "url", "topics", "stars", "research", F.lit(_BEFORE).alias("first_promoted_at"), F.lit(_BEFORE).alias("last_observed_at"))
     return old, r
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from heliograph.functions.times import instant
-from heliograph.operators import commits
+from heliograph.operators import commits, diagnostics
 from heliograph.sources import paged
 from heliograph.storage import shared_dir
 from heliograph.streaming import state
@@ -104,7 +104,19 @@ def incremental_read(spark, d):
 
 INCREMENTAL = "SELECT event_id, event_type, user_id FROM events"
 
+def collection_report(spark, d):
+    """What a collection by type of event brought: rows, and values out of range as failures, counted while they are read."""
+    e = _t(spark, d, "events").select(F.col("event_type").alias("target"), F.when(F.col("value") > 90, F.concat(F.lit("value "), F.floor("value").cast("string"))).alias("error"), F.when(F.col("value") < 5, "low").alias("warning"))
+    return diagnostics.run_report(e, warning="warning").withColumn("messages", F.array_join("messages", ","))
+
+
+REPORT = """
+SELECT event_type AS target, count(*) FILTER (value IS NULL OR NOT value > 90) AS rows, count(*) FILTER (value > 90) AS errors, count(*) FILTER (value < 5) AS warnings,
+  CASE WHEN count(*) FILTER (value > 90) > 0 THEN 'failed' WHEN count(*) FILTER (value < 5) > 0 THEN 'warned' ELSE 'done' END AS status,
+  coalesce(array_to_string(list_sort(list(DISTINCT 'value ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)) FILTER (value > 90))[1:5], ','), '') AS messages
+FROM events GROUP BY event_type"""
+
 ALL = {
-    "status_transitions_stream": (status_transitions_stream, TRANSITIONS_STREAM), "snapshot_changes_stream": (snapshot_changes_stream, SNAPSHOT_STREAM), "seen_members_stream": (seen_members_stream, SEEN_STREAM),
+    "collection_report": (collection_report, REPORT), "status_transitions_stream": (status_transitions_stream, TRANSITIONS_STREAM), "snapshot_changes_stream": (snapshot_changes_stream, SNAPSHOT_STREAM), "seen_members_stream": (seen_members_stream, SEEN_STREAM),
     "committed_append": (committed_append, COMMITTED), "incremental_read": (incremental_read, INCREMENTAL),
 }
