@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from heliograph.functions import urls
 from heliograph.functions.numbers import round_floor
-from heliograph.operators import linking, matching
-from heliograph.plans.text import _CANON, _TOKENS
+from heliograph.operators import archive, archive_index, linking, matching
+from heliograph.plans.text import _CANON, _TOKENS, SEARCH
+from heliograph.storage import shared_dir
 
 
 def _t(spark, d, name):
@@ -90,4 +93,13 @@ r AS (SELECT *, max(similarity) OVER (PARTITION BY doc_id) AS best, row_number()
 SELECT doc_id, topic, floor(similarity * 10000::DOUBLE + 0.5::DOUBLE) / 10000::DOUBLE AS similarity, rank FROM r WHERE similarity >= 0.12::DOUBLE AND similarity >= best * 0.68::DOUBLE AND rank <= 4"""
 
 
-ALL = {"semantic_topics": (semantic_topics, SEMANTIC), "identifier_stars": (identifier_stars, STARS), "part_stars": (part_stars, PART_STARS), "entity_chains": (entity_chains, ENTITY_CHAINS), "names_in_titles": (names_in_titles, NAMES_IN_TITLES)}
+def archive_search_indexed(spark, d):
+    """The archive search of whole documents through an index of trigrams, written first."""
+    docs = _t(spark, d, "documents").withColumn("topics", F.array("lang", "source")).withColumn("reportable", F.col("n_chars") >= 200)
+    kept = docs.filter(archive.filters(topics=["en"], columns={"source": "source"}))
+    head, path = F.substring_index("text", "\n", 1), f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    archive_index.write_index(docs, path, "doc_id", head, F.col("source"), F.col("text"))
+    return archive_index.search_indexed(kept, path, "the and", 20, head, F.col("source"), F.col("text"), "n_chars", "doc_id").select("doc_id", "score", "n_chars")
+
+
+ALL = {"archive_search_indexed": (archive_search_indexed, SEARCH), "semantic_topics": (semantic_topics, SEMANTIC), "identifier_stars": (identifier_stars, STARS), "part_stars": (part_stars, PART_STARS), "entity_chains": (entity_chains, ENTITY_CHAINS), "names_in_titles": (names_in_titles, NAMES_IN_TITLES)}
