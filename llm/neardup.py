@@ -221,8 +221,8 @@ def near_duplicates(df: DataFrame, how: NearDuplicates = NearDuplicates(), id_co
 
     Null and wordless texts have an empty set, link with nothing, and are kept.  A null
     identifier links with nothing: component_id is null and kept is true.  Rows that
-    repeat an identifier all get its component; of differing texts under one identifier
-    any may link.  An empty table gives an empty table.  Only the two named columns are
+    repeat an identifier with one text all get its component; rows with differing texts
+    under one identifier get each their own text's component.  An empty table gives an empty table.  Only the two named columns are
     read.
 
     A pair at just 80 % meets in no table with a probability of about
