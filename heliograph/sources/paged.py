@@ -152,7 +152,7 @@ class _Pages:
 
     def _pages(self, part: Slice) -> Iterator[list[dict]]:
         """Pages of a slice: as many as it was counted to have, or newest first until one reaches back beyond it."""
-        transport, number, seen = self._transport(part.target), 0, 0
+        transport, number, seen = (self._transport(part.target) if part.target else self._transport()), 0, 0
         most, pause = int(self.options.get("mostPages", 10_000)), float(self.options.get("pause", 0))
         while part.count < 0 or seen < part.count:
             rows = attempt(lambda: transport.newest(number) if part.count < 0 else transport.page(part.start, part.end, number))
