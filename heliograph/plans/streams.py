@@ -90,9 +90,9 @@ def incremental_read(spark, d):
     if not to.startswith(("file:", "/")):
         raise ValueError("the folder that stands for the API has to be a mounted one")
     e = _t(spark, d, "events").select(F.col("event_id").cast("string").alias("id"), F.unix_timestamp(instant(F.col("ts"))).alias("ts"), "event_type", "user_id")
-    e.withColumn("slot", F.expr("ts div 86400")).repartition("slot").write.partitionBy("slot").json(f"{to}/api")
+    e.withColumn("slot", F.expr("ts div 86400")).repartition("slot").sortWithinPartitions("slot", "ts").write.partitionBy("slot").json(f"{to}/api")
     paged.register(spark)
-    read = lambda until: spark.readStream.format("paged").option("transport", "heliograph.sources.paged.FolderTransport").option("path", f"{to}/api").option("start", 0).option("until", until).option("capacity", 20_000).option("pageSize", 5_000).option("leastSeconds", 1).option("overlapMinutes", 600)
+    read = lambda until: spark.readStream.format("paged").option("transport", "heliograph.sources.paged.SortedFolderTransport").option("path", f"{to}/api").option("start", 0).option("until", until).option("capacity", 20_000).option("pageSize", 5_000).option("leastSeconds", 1).option("overlapMinutes", 600)
     for until in (1_705_000_000, 4_000_000_000):
         query = commits.committed_sink(read(until).load(), f"{to}/table", f"{to}/checkpoint").trigger(processingTime="0 seconds").start()
         query.processAllAvailable()
