@@ -119,12 +119,26 @@ def select_topics(scores: DataFrame, key: str, how: Profiles = Profiles()) -> Da
     return out.filter((F.col("similarity") >= how.minimum) & (F.col("similarity") >= F.col("best") * how.relative) & (F.col("rank") <= how.most_topics)).drop("best")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores, where their files are fewer than cores: texts of one small file would be one task's work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def known_vectors(documents: DataFrame, key: str, text: str, idf: DataFrame, how: Profiles = Profiles()) -> DataFrame:
-    """``vectors`` of ``features`` that ``idf`` has; others are dropped before anything is counted or shuffled by document."""
-    words = tokens(normalize_words(F.col(text)))
-    w = F.transform(word_ngrams(words, how.word_low, how.word_high), lambda g: F.concat(F.lit("w:"), g))
-    c = F.transform(char_ngrams(words, how.char_low, how.char_high), lambda g: F.concat(F.lit("c:"), g))
-    counts = documents.select(key, F.explode(F.concat(w, c)).alias("feature")).join(idf, "feature").groupBy(key, "feature", "idf").agg(F.count("*").alias("tf"))
+    """``vectors`` of ``features`` that ``idf`` has; others are dropped before anything is counted or shuffled by document.
+
+    Character n-grams lie inside words, so they are made once for each distinct word of all
+    documents; a document has those of its distinct words, times the word's count.
+    """
+    words = written(_spread(documents).select(key, tokens(normalize_words(F.col(text))).alias("__words")))
+    w = F.transform(word_ngrams(F.col("__words"), how.word_low, how.word_high), lambda g: F.concat(F.lit("w:"), g))
+    runs = words.select(key, F.explode(w).alias("feature")).join(idf, "feature").groupBy(key, "feature", "idf").agg(F.count("*").alias("tf"))
+    has = written(words.select(key, F.explode("__words").alias("__word")).groupBy(key, "__word").agg(F.count("*").alias("__n")))
+    c = F.transform(char_ngrams(F.array("__word"), how.char_low, how.char_high), lambda g: F.concat(F.lit("c:"), g))
+    inside = has.select("__word").distinct().select("__word", F.explode(c).alias("feature")).join(idf, "feature").groupBy("__word", "feature", "idf").agg(F.count("*").alias("__m"))
+    chars = has.join(inside, "__word").groupBy(key, "feature", "idf").agg(F.sum(F.col("__n") * F.col("__m")).alias("tf"))
+    counts = runs.unionByName(chars)
     kind = F.when(F.col("feature").startswith("w:"), how.word_weight).otherwise(how.char_weight)
     raw = counts.select(key, "feature", ((1 + F.log("tf")) * F.col("idf") * kind).alias("value"))
     norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
@@ -146,22 +160,23 @@ def split_profiles(profiles: DataFrame, light: float) -> DataFrame:
 def near_topics(mine: DataFrame, key: str, profiles: DataFrame, allowed: DataFrame | None = None, how: Profiles = Profiles()) -> DataFrame:
     """key, topic, similarity: every pair that ``select_topics`` may choose, and no pair whose bound rules it out.
 
-    Heavy features alone meet documents first; light ones, most topics' commonest, add
-    less than the minimum, so a pair without a heavy one can't be chosen.  What heavy ones add
-    up to is a lower bound, with the topic's ``rest`` an upper one; a topic whose upper bound is below the minimum, or
-    below the relative threshold of the document's best lower bound, is left out.  Only
-    the few that stay meet the light features.  ``allowed``: key and an array of topics
-    that may be chosen, where topics are gated.
+    A topic's light features, most topics' commonest, add less than the minimum, so a pair
+    without a heavy one can't be chosen.  What heavy ones add up to is a lower bound, with
+    the topic's ``rest`` an upper one; a topic whose upper bound is below the minimum, or
+    below the relative threshold of the document's best lower bound, is left out.  Documents
+    meet all features in one join, where both sums are made: pairs of document and topic
+    never meet a document's features again.  ``allowed``: key and an array of topics that may
+    be chosen, where topics are gated.
     """
     slack = 1e-6  # similarities are rounded before they are compared
-    p = split_profiles(profiles, max(0.0, how.minimum - 2 * slack))
-    first = mine.join(p.filter("heavy").select("topic", "feature", F.col("value").alias("__v"), "rest"), "feature").groupBy(key, "topic").agg(F.sum(F.col("value") * F.col("__v")).alias("low"), F.first("rest").alias("rest"))
+    p = split_profiles(profiles, max(0.0, how.minimum - 2 * slack)).select("topic", "feature", F.col("value").alias("__v"), "heavy", "rest")
+    product = F.col("value") * F.col("__v")
+    sums = mine.join(p, "feature").groupBy(key, "topic").agg(F.sum(F.when(F.col("heavy"), product)).alias("low"), F.sum(product).alias("similarity"), F.first("rest").alias("rest"))
+    first = sums.filter("low is not null")
     if allowed is not None:
         first = first.join(allowed, key).filter(F.array_contains("__allowed", F.col("topic"))).drop("__allowed")
     best = F.max("low").over(Window.partitionBy(key))
-    kept = first.withColumn("best", best).filter((F.col("low") + F.col("rest") + slack >= how.minimum) & (F.col("low") + F.col("rest") + slack >= how.relative * F.col("best"))).select(key, "topic", "low")
-    more = kept.select(key, "topic").join(mine, key).join(p.filter("not heavy").select("topic", "feature", F.col("value").alias("__v")), ["topic", "feature"]).groupBy(key, "topic").agg(F.sum(F.col("value") * F.col("__v")).alias("more"))
-    return kept.join(more, [key, "topic"], "left").select(key, "topic", (F.col("low") + F.coalesce("more", F.lit(0.0))).alias("similarity"))
+    return first.withColumn("best", best).filter((F.col("low") + F.col("rest") + slack >= how.minimum) & (F.col("low") + F.col("rest") + slack >= how.relative * F.col("best"))).select(key, "topic", "similarity")
 
 
 def semantic_topics(documents: DataFrame, key: str, title: str, text: str, profile_texts: DataFrame, anchors: dict[str, tuple[list[str], list[list[str]]]] | None = None, how: Profiles = Profiles()) -> DataFrame:
