@@ -179,15 +179,71 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return both.groupBy("id").agg(F.sort_array(F.collect_set("other")).alias("related"))
 
 
+#: Links whose components a task finds at once.
+CHUNK_LINKS = 200_000
+
+
+def _chunk_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, hub: of each ``CHUNK_LINKS`` links (a, b) in turn, every node with the smallest that they link it to, itself included."""
+
+    def stars_of(links: pa.Table) -> pa.RecordBatch:
+        n = links.num_rows
+        coded = pa.chunked_array([*links.column("a").chunks, *links.column("b").chunks]).combine_chunks().dictionary_encode()
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        ends, low = place[coded.indices.to_numpy()], np.arange(len(order))
+        a, b = ends[:n], ends[n:]
+        while True:  # a link ties the larger of its ends' smallest nodes to the smaller, and paths are halved until all are short
+            la, lb = low[a], low[b]
+            if (la == lb).all():
+                break
+            np.minimum.at(low, np.maximum(la, lb), np.minimum(la, lb))
+            while (low[low] != low).any():
+                low = low[low]
+        nodes = coded.dictionary.take(pa.array(order))
+        return pa.RecordBatch.from_arrays([nodes, nodes.take(pa.array(low))], names=["node", "hub"])
+
+    waiting, held = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        held += batch.num_rows
+        if held >= CHUNK_LINKS:
+            yield stars_of(pa.Table.from_batches(waiting))
+            waiting, held = [], 0
+    if held:
+        yield stars_of(pa.Table.from_batches(waiting))
+
+
 def components(edges: DataFrame, left: str = "left", right: str = "right") -> DataFrame:
     """node, component (its smallest node), for nodes with links.
 
+    Tasks first make stars of the links that lie together, a bounded number at a time.
+    Nodes that several stars have link these stars' hubs; only hubs go through rounds
+    over all links.  Where the links of a component come together, there are no rounds.
+    """
+    ship(edges.sparkSession, "heliograph")
+    links = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).filter("a <> b")
+    kind = dict(links.dtypes)["a"]
+    found = written(links.mapInArrow(_chunk_stars, f"node {kind}, hub {kind}"))
+    low = written(found.groupBy("node").agg(F.min("hub").alias("low"), F.max("hub").alias("high")))
+    several = low.filter("low <> high").select("node", "low")
+    if several.isEmpty():
+        return low.select("node", F.col("low").alias("component"))
+    between = found.join(several, "node").select(F.col("low").alias("a"), F.col("hub").alias("b"))
+    hubs = hub_components(between).select(F.col("node").alias("low"), F.col("component").alias("__c"))
+    return low.join(hubs, "low", "left").select("node", F.coalesce("__c", "low").alias("component"))
+
+
+def hub_components(links: DataFrame) -> DataFrame:
+    """node, component of links a, b, in rounds.
+
     Each round every node takes the smallest label among its neighbours' and then its
     label's label, so chains shorten by halves; rounds go on until none changes.  A
     round is written to the shared folder: lineage stays short and a lost executor costs
     no earlier round.
     """
-    pairs = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).filter("a <> b").distinct()
+    pairs = links.filter("a <> b").distinct()
     pairs = written(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = written(pairs.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
     while True:
