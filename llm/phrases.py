@@ -2,8 +2,8 @@
 
 Words that are frequent enough to be part of a frequent phrase get dense numbers; all
 others break pieces.  A phrase is the fixed-width big-endian numbers of its words in a
-row, so that keys sort as bytes.  Tasks sort their keys by radix and send a key and its
-run length; keys then meet in ranges, are sorted there and their runs added up.
+row, so that keys sort as bytes.  Tasks sort their keys by radix and send keys and run
+lengths, many in a row, to buckets by a hash; there they are sorted again and runs added up.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.frames import cut, drop, map_texts, table
-from llm.words import _LOWER, _bytes_of, _words, blocks_of
+from llm.frames import cut, map_texts, table
+from llm.words import _LOWER, _bytes_of, _words, blocks_of, mix64
 
 _FOLD = _LOWER.astype(np.uint8)
 _BREAK = np.zeros(256, dtype=bool)
@@ -37,7 +37,7 @@ class Mining:
     most_sent: int = 500_000  # words of a dictionary that is sent to all tasks; a larger one is joined with the blocks
     most_sent_bytes: int = 16 << 20
     buffer: int = 1 << 21  # keys a task sorts at once
-    range_rows: int = 2_000_000  # keys with their run lengths in a range
+    range_rows: int = 2_000_000  # phrases, counted each time they occur, that meet in a bucket
 
 
 def tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -134,15 +134,32 @@ def _binary(keys: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * wide), pa.py_buffer(np.ascontiguousarray(keys))])
 
 
-def _rows(column: pa.Array, wide: int) -> np.ndarray:
-    data, offsets = _bytes_of(pc.cast(column, pa.large_binary()).view(pa.large_string()))
-    return data.reshape(-1, wide)
+def _as_numbers(keys: np.ndarray) -> list[np.ndarray]:
+    """Keys' bytes by eights as big-endian numbers, the last ones first."""
+    even = np.pad(keys, ((0, 0), (0, -keys.shape[1] % 8)))
+    return [x.astype(np.uint64) for x in even.view(">u8").T[::-1]]
 
 
-def _counted(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+#: Keys that are sent with their run lengths: of one bucket, one after the other in each row.
+SENT = "bucket long, keys binary, n binary"
+_SENT = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+
+
+def _counted(keys: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     keys, n = runs(keys)
-    for at in range(0, len(keys), 100_000):
-        yield pa.RecordBatch.from_arrays([_binary(keys[at : at + 100_000]), pa.array(n[at : at + 100_000], pa.int64())], names=["key", "n"])
+    if not len(keys):
+        return
+    mixed = np.zeros(len(keys), dtype=np.uint64)
+    for number in _as_numbers(keys):
+        mixed = mix64(mixed ^ number)
+    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    keys, n, bucket = keys[order], n[order].astype("<i8"), bucket[order]
+    ends = [*(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+    at = [(int(bucket[a]), a, b) for a, b in zip([0, *ends], ends)]
+    for k in range(0, len(at), 64):
+        some = at[k : k + 64]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _, _ in some], pa.int64()), pa.array([keys[a:b].tobytes() for _, a, b in some], pa.binary()), pa.array([n[a:b].tobytes() for _, a, b in some], pa.binary())], schema=_SENT)
 
 
 def word_counts(given: DataFrame) -> DataFrame:
@@ -178,7 +195,7 @@ def numbered(counts: DataFrame, how: Mining) -> tuple[DataFrame, int, int]:
     return cut(placed.select("part", "word", "n", F.when(F.col("word").isNotNull(), F.col("start") + rank).alias("id"))), size.n, size.b
 
 
-def _sent(given: DataFrame, words: DataFrame, how: Mining, width: int) -> DataFrame:
+def _sent(given: DataFrame, words: DataFrame, how: Mining, width: int, buckets: int) -> DataFrame:
     """Keys with their run lengths, by a dictionary in every task; a task sorts ``how.buffer`` keys at a time."""
     spark = given.sparkSession
     sent = spark.sparkContext.broadcast(words.select("part", "word", "id").toArrow())
@@ -198,15 +215,15 @@ def _sent(given: DataFrame, words: DataFrame, how: Mining, width: int) -> DataFr
                 waiting.append(keys_of(ids, piece, how.longest, width))
                 held += len(waiting[-1])
                 if held >= how.buffer:
-                    yield from _counted(np.concatenate(waiting))
+                    yield from _counted(np.concatenate(waiting), buckets)
                     waiting, held = [], 0
         if held:
-            yield from _counted(np.concatenate(waiting))
+            yield from _counted(np.concatenate(waiting), buckets)
 
-    return given.mapInArrow(each, "key binary, n long")
+    return given.mapInArrow(each, SENT)
 
 
-def _joined(given: DataFrame, words: DataFrame, how: Mining, width: int) -> DataFrame:
+def _joined(given: DataFrame, words: DataFrame, how: Mining, width: int, buckets: int) -> DataFrame:
     """The same by a join: each block sends the places of its distinct words, gets their numbers and is put together again.
 
     A word is one row a block and part, however frequent it is; a block is about a megabyte of text, or one longer text.
@@ -236,48 +253,37 @@ def _joined(given: DataFrame, words: DataFrame, how: Mining, width: int) -> Data
         piece = flat[whole == 0]  # the row without a word
         ids = np.zeros(len(piece), dtype=np.int64)
         ids[flat[whole != 0]] = whole[whole != 0]
-        return pa.Table.from_batches(_counted(keys_of(ids, piece, how.longest, width)), pa.schema([("key", pa.binary()), ("n", pa.int64())]))
+        return pa.Table.from_batches(_counted(keys_of(ids, piece, how.longest, width), buckets), _SENT)
 
     places = cut(given.mapInArrow(spread, "block long, part string, word string, places array<long>"))
     known = places.filter("word is not null").join(words.select("part", "word", "id"), ["part", "word"]).select("block", "places", "id")
-    return known.unionByName(places.filter("word is null").select("block", "places", F.lit(0).cast("long").alias("id"))).groupBy("block").applyInArrow(gather, "key binary, n long")
+    return known.unionByName(places.filter("word is null").select("block", "places", F.lit(0).cast("long").alias("id"))).groupBy("block").applyInArrow(gather, SENT)
 
 
 def frequent_phrases(given: DataFrame, words: DataFrame, size: int, size_bytes: int, how: Mining) -> tuple[DataFrame, int]:
     """key, words, a: the phrases of 2 to ``how.longest`` words with at least ``how.least`` occurrences; and the bytes of a word's number.
 
-    Keys are dealt out by ranges and sorted there by Spark, which spills what memory
-    doesn't hold; runs are added up as a stream.
+    Keys are dealt out by a hash into buckets, of at most about ``how.range_rows``
+    occurrences each, as a phrase that occurs more often is one key and number a task's buffer.
     """
     width = max(1, (size.bit_length() + 7) // 8)
     wide = how.longest * width
-    keys = cut((_sent if size <= how.most_sent and size_bytes <= how.most_sent_bytes else _joined)(given, words.filter("word is not null"), how, width))
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, sum_ = np.zeros((0, wide), dtype=np.uint8), np.zeros(0, dtype=np.int64)
-        schema = ["key", "words", "a"]
-
-        def large(rows: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
-            rows, a = rows[a >= how.least], a[a >= how.least]
-            size_ = rows.reshape(len(rows), how.longest, width).any(2).sum(1)
-            return pa.RecordBatch.from_arrays([_binary(rows), pa.array(size_, pa.int32()), pa.array(a, pa.int64())], names=schema)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = np.concatenate([last, _rows(batch.column("key"), wide)])
-            n = np.concatenate([sum_, batch.column("n").to_numpy()])
-            at = np.concatenate([[0], np.flatnonzero((rows[1:] != rows[:-1]).any(1)) + 1])
-            rows, n = rows[at], np.add.reduceat(n, at)
-            yield large(rows[:-1], n[:-1])
-            last, sum_ = rows[-1:], n[-1:]
-        if len(last):
-            yield large(last, sum_)
-
-    ranges = max(1, -(-keys.count() // how.range_rows))
-    phrases = cut(keys.repartitionByRange(ranges, "key").sortWithinPartitions("key").mapInArrow(add_up, "key binary, words int, a long"))
-    drop(given.sparkSession, keys)
-    return phrases, width
+    total = words.filter("word is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    buckets = max(1, -(-total * (how.longest - 1) // how.range_rows))
+    keys = (_sent if size <= how.most_sent and size_bytes <= how.most_sent_bytes else _joined)(given, words.filter("word is not null"), how, width, buckets)
+
+    def add_up(group: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in group["keys"]]).reshape(-1, wide)
+        n = np.concatenate([np.frombuffer(x.as_buffer(), dtype="<i8") for x in group["n"]])
+        order = np.lexsort(_as_numbers(rows))
+        rows, n = rows[order], n[order]
+        at = np.concatenate([[0], np.flatnonzero((rows[1:] != rows[:-1]).any(1)) + 1])
+        rows, a = rows[at], np.add.reduceat(n, at)
+        rows, a = rows[a >= how.least], a[a >= how.least]
+        size_ = rows.reshape(len(rows), how.longest, width).any(2).sum(1)
+        return pa.table({"key": _binary(rows), "words": pa.array(size_, pa.int32()), "a": pa.array(a, pa.int64())})
+
+    return cut(keys.groupBy("bucket").applyInArrow(add_up, "key binary, words int, a long")), width
 
 
 def _sub(key: Column, first: Column, size: Column, width: int, wide: int) -> Column:
