@@ -132,22 +132,26 @@ def undecided(shared: DataFrame, links: DataFrame, sets: DataFrame, how: NearDup
 
     ``shared`` counts a text's shingles that texts of other components have.  A link
     across has at least percent / (100 + percent) of both sizes' sum in common, and that
-    much must be shared; the other size is at least the smallest in the bucket.  Both
-    bounds are exact: what they leave out has no link to another component.
+    much must be shared; the other size is at least ``percent`` of the text's own, and at
+    least the smallest in the bucket.  The first is asked of each text before its buckets
+    are looked into, the second of each bucket member.  All bounds are exact: what they
+    leave out has no link to another component.  A bucket member is at most one row in
+    each step, and each step's rows are written, so none is joined again for a later one.
     """
     found = components(links)
     placed = shared.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     placed = cut(_mixed(placed))
-    nodes = placed.select("node", "component").distinct()
+    nodes = cut(placed.select("node", "n", "component").distinct())
     grams = sets.join(nodes, F.col("doc_id") == F.col("node")).select("node", "component", F.explode("grams").alias("gram"))
     across = grams.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
-    counts = cut(grams.join(across, "gram").groupBy("node").agg(F.count("*").alias("shared")))
-    members = placed.join(counts, "node")
-    for _ in range(2):
-        least = members.groupBy("key").agg(F.min("n").alias("least"))
-        other = F.greatest(F.col("least"), F.ceil(F.col("n") * how.percent / 100.0 - 1e-9))
-        members = _mixed(members.join(least, "key").filter((100 + how.percent) * F.col("shared") >= how.percent * (F.col("n") + other)).drop("least"))
-    return cut(members)
+    counts = grams.join(across, "gram").groupBy("node").agg(F.count("*").alias("shared"))
+    own = F.ceil(F.col("n") * how.percent / 100.0 - 1e-9)
+    enough = lambda other: (100 + how.percent) * F.col("shared") >= how.percent * (F.col("n") + other)
+    able = cut(nodes.join(counts, "node").filter(enough(own)).select("node", "shared"))
+    members = cut(placed.join(able, "node"))
+    keys = members.groupBy("key").agg(F.min("n").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", "least")
+    members = cut(members.join(keys, "key").filter(enough(F.greatest("least", own))).drop("least"))
+    return cut(_mixed(members))
 
 
 def block_links(members: DataFrame, sets: DataFrame, how: NearDuplicates) -> DataFrame:
