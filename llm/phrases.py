@@ -112,21 +112,34 @@ def keys_of(ids: np.ndarray, piece: np.ndarray, longest: int, width: int) -> np.
     return np.concatenate(out)
 
 
-def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often each comes: a radix sort, two bytes a pass from the last, and run lengths."""
-    if not len(keys):
-        return keys, np.zeros(0, dtype=np.int64)
-    even = np.pad(keys, ((0, 0), (keys.shape[1] % 2, 0)))
-    digits = np.ascontiguousarray(even.view(">u2").T.astype(np.uint16))
-    order = np.arange(len(keys))
-    for d in digits[::-1]:
+def ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of some keys, and where in it each distinct one begins: a radix sort, two bytes a pass from the last.
+
+    Besides the keys it holds their order in 32 bits, and one digit at a time.
+    """
+    wide = keys.shape[1]
+
+    def digit(k: int) -> np.ndarray:
+        return keys[:, k].astype(np.uint16) << np.uint16(8) | keys[:, k + 1] if k + 1 < wide else keys[:, k].astype(np.uint16)
+
+    order = np.arange(len(keys), dtype=np.int32)
+    for k in range((wide - 1) // 2 * 2, -1, -2):
+        d = digit(k)
         if (d != d[0]).any():
             order = order[np.argsort(d[order], kind="stable")]  # numpy's stable sort of 16-bit numbers is a radix sort
     changes = np.zeros(len(keys) - 1, dtype=bool)
-    for d in digits:
-        changes |= np.diff(d[order].astype(np.int32)) != 0
-    at = np.concatenate([[0], np.flatnonzero(changes) + 1])
-    return keys[order[at]], np.diff(np.append(at, len(keys)))
+    for k in range(0, wide, 2):
+        d = digit(k)[order]
+        changes |= d[1:] != d[:-1]
+    return order, np.concatenate([np.zeros(1, np.int32), np.flatnonzero(changes).astype(np.int32) + 1])
+
+
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each comes."""
+    if not len(keys):
+        return keys, np.zeros(0, dtype=np.int64)
+    order, at = ordered(keys)
+    return keys[order[at]], np.diff(at, append=np.int32(len(keys)))
 
 
 def _binary(keys: np.ndarray) -> pa.Array:
@@ -142,6 +155,8 @@ def _as_numbers(keys: np.ndarray) -> list[np.ndarray]:
 
 #: Keys that are sent with their run lengths: of one bucket, one after the other in each row.
 SENT = "bucket long, keys binary, n binary"
+#: Bytes of keys and run lengths in a batch, unless one bucket has more.
+BATCH_BYTES = 1 << 20
 _SENT = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
 
 
@@ -149,17 +164,28 @@ def _counted(keys: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     keys, n = runs(keys)
     if not len(keys):
         return
-    mixed = np.zeros(len(keys), dtype=np.uint64)
-    for number in _as_numbers(keys):
-        mixed = mix64(mixed ^ number)
-    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    keys, n, bucket = keys[order], n[order].astype("<i8"), bucket[order]
+    bucket = np.empty(len(keys), dtype=np.int32)
+    for a in range(0, len(keys), 1 << 16):
+        mixed = np.uint64(0)
+        for number in _as_numbers(keys[a : a + (1 << 16)]):
+            mixed = mix64(mixed ^ number)
+        bucket[a : a + (1 << 16)] = mixed % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable").astype(np.int32)
+    bucket = bucket[order]
     ends = [*(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
-    at = [(int(bucket[a]), a, b) for a, b in zip([0, *ends], ends)]
-    for k in range(0, len(at), 64):
-        some = at[k : k + 64]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _, _ in some], pa.int64()), pa.array([keys[a:b].tobytes() for _, a, b in some], pa.binary()), pa.array([n[a:b].tobytes() for _, a, b in some], pa.binary())], schema=_SENT)
+    some, most = [], BATCH_BYTES // (keys.shape[1] + 8)
+    for a, b in zip([0, *ends], ends):
+        if some and b - some[0].start > most:
+            yield _packed(keys, n, bucket, order, some)
+            some = []
+        some.append(slice(a, b))
+    yield _packed(keys, n, bucket, order, some)
+
+
+def _packed(keys: np.ndarray, n: np.ndarray, bucket: np.ndarray, order: np.ndarray, some: list[slice]) -> pa.RecordBatch:
+    """A row for each stretch of ``order``: the keys of one bucket."""
+    columns = [bucket[x.start] for x in some], [keys[order[x]].tobytes() for x in some], [n[order[x]].astype("<i8").tobytes() for x in some]
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, _SENT.types)], schema=_SENT)
 
 
 def word_counts(given: DataFrame) -> DataFrame:
@@ -199,11 +225,10 @@ def _sent(given: DataFrame, words: DataFrame, how: Mining, width: int, buckets:
     """Keys with their run lengths, by a dictionary in every task; a task sorts ``how.buffer`` keys at a time."""
     spark = given.sparkSession
     sent = spark.sparkContext.broadcast(words.select("part", "word", "id").toArrow())
-    made: list[Dictionary] = []
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made.append(Dictionary(sent.value))
-        waiting, held = [], 0
+        words = Dictionary(sent.value)
+        waiting, held = np.empty((how.buffer, how.longest * width), dtype=np.uint8), 0
         for batch in batches:
             for block in blocks_of(batch):
                 found, piece, text = tokens(block.column("text"))
@@ -211,14 +236,16 @@ def _sent(given: DataFrame, words: DataFrame, how: Mining, width: int, buckets:
                 code, part = coded.indices.to_numpy(), parts.indices.to_numpy()[text]
                 ids = np.zeros(len(code), dtype=np.int64)
                 for k, p in enumerate(parts.dictionary.to_pylist()):
-                    ids = np.where(part == k, made[-1].ids(p, coded.dictionary)[code], ids) if len(code) else ids
-                waiting.append(keys_of(ids, piece, how.longest, width))
-                held += len(waiting[-1])
-                if held >= how.buffer:
-                    yield from _counted(np.concatenate(waiting), buckets)
-                    waiting, held = [], 0
+                    ids = np.where(part == k, words.ids(p, coded.dictionary)[code], ids) if len(code) else ids
+                keys = keys_of(ids, piece, how.longest, width)
+                while len(keys):
+                    more = min(len(keys), how.buffer - held)
+                    waiting[held : held + more], keys, held = keys[:more], keys[more:], held + more
+                    if held == how.buffer:
+                        yield from _counted(waiting, buckets)
+                        held = 0
         if held:
-            yield from _counted(np.concatenate(waiting), buckets)
+            yield from _counted(waiting[:held], buckets)
 
     return given.mapInArrow(each, SENT)
 
@@ -275,10 +302,8 @@ def frequent_phrases(given: DataFrame, words: DataFrame, size: int, size_bytes:
     def add_up(group: pa.Table) -> pa.Table:
         rows = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in group["keys"]]).reshape(-1, wide)
         n = np.concatenate([np.frombuffer(x.as_buffer(), dtype="<i8") for x in group["n"]])
-        order = np.lexsort(_as_numbers(rows))
-        rows, n = rows[order], n[order]
-        at = np.concatenate([[0], np.flatnonzero((rows[1:] != rows[:-1]).any(1)) + 1])
-        rows, a = rows[at], np.add.reduceat(n, at)
+        order, at = ordered(rows)
+        rows, a = rows[order[at]], np.add.reduceat(n[order], at)
         rows, a = rows[a >= how.least], a[a >= how.least]
         size_ = rows.reshape(len(rows), how.longest, width).any(2).sum(1)
         return pa.table({"key": _binary(rows), "words": pa.array(size_, pa.int32()), "a": pa.array(a, pa.int64())})
