@@ -7,20 +7,27 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from heliograph.functions.numbers import round_even
 from heliograph.functions.text import anchor_matches, char_ngrams, contains_phrase, normalize_words, tokens, word_ngrams
+from heliograph.functions.topic_matrix import TopicMatrix
 from heliograph.functions.udfs import phrases_in
-from heliograph.shipping import ship
+from heliograph.shipping import bounded_batches, ship
 from heliograph.storage import written
 
 
 #: Aliases up to this number are sent to all tasks (some 20 MB); more are joined.
 BROADCAST_ALIASES = 200_000
 
+#: Profiles of up to this number of distinct features meet the texts in their tasks (some 100 MB a worker); those of more are joined.
+SENT_FEATURES = 500_000
+#: About so many entries of profiles are sent at once; more take several passes over the texts.
+SENT_ENTRIES = 500_000
+
 
 def phrase_candidates(documents: DataFrame, key: str, field: str, aliases: DataFrame, most_words: int) -> DataFrame:
     """key and the columns of ``aliases``: documents whose normalised field has the normalised alias as whole words.
@@ -179,20 +186,78 @@ def near_topics(mine: DataFrame, key: str, profiles: DataFrame, allowed: DataFra
     return first.withColumn("best", best).filter((F.col("low") + F.col("rest") + slack >= how.minimum) & (F.col("low") + F.col("rest") + slack >= how.relative * F.col("best"))).select(key, "topic", "similarity")
 
 
+def near_in_tasks(docs: DataFrame, key: str, profiles: DataFrame, idf: DataFrame, gated: list[str], how: Profiles = Profiles()) -> DataFrame:
+    """As ``near_topics``, of ``docs`` (key, __norm_all: normalised words, __met: those of the ``gated`` topics that a row may have), one row a key.
+
+    A text's features never leave its task: the profiles are sent instead, about
+    ``SENT_ENTRIES`` entries a pass, and only pairs that may be chosen are rows.
+    """
+    spark = docs.sparkSession
+    ship(spark, "heliograph")
+    bounded_batches(spark)
+    known = idf.toArrow().combine_chunks()
+    names = known.column("feature").combine_chunks()
+    kind = pc.if_else(pc.starts_with(names, "w:"), how.word_weight, how.char_weight)
+    weights = pc.multiply(known.column("idf"), kind).to_numpy()
+    features = spark.sparkContext.broadcast((names.to_pylist(), weights))
+    passes = max(1, -(-profiles.count() // SENT_ENTRIES))
+    schema = StructType([docs.schema[key]]).add("topic", "string").add("similarity", "double")
+
+    def found(number: int) -> DataFrame:
+        t = profiles.filter(F.pmod(F.xxhash64("topic"), F.lit(passes)) == number).toArrow()  # about ``SENT_ENTRIES``
+        coded = t.column("topic").combine_chunks().dictionary_encode()
+        topics = coded.dictionary.to_pylist()
+        sent = spark.sparkContext.broadcast((topics, (pc.index_in(t.column("feature"), names).to_numpy(), coded.indices.to_numpy(), t.column("value").to_numpy())))
+        numbers = {topic: k for k, topic in enumerate(topics)}
+        shut = {topic: numbers[topic] for topic in gated if topic in numbers}
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matrix, called = None, None
+            for batch in batches:
+                if matrix is None:
+                    (names, weights), (topics, entries) = features.value, sent.value
+                    matrix, called = TopicMatrix(names, weights, len(topics), entries, (how.word_low, how.word_high, how.char_low, how.char_high)), pa.array(topics, pa.string())
+                barred = [[k for topic, k in shut.items() if topic not in met] for met in batch.column(2).to_pylist()] if shut else None
+                for row, topic, similarity in matrix.near(batch.column(1).to_pylist(), barred, how.minimum, how.relative, how.most_topics):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), called.take(pa.array(topic)), pa.array(similarity)], names=schema.names)
+
+        return docs.select(key, "__norm_all", "__met").mapInArrow(near, schema) if topics else spark.createDataFrame([], schema)
+
+    return functools.reduce(DataFrame.unionByName, [found(number) for number in range(passes)])
+
+
 def semantic_topics(documents: DataFrame, key: str, title: str, text: str, profile_texts: DataFrame, anchors: dict[str, tuple[list[str], list[list[str]]]] | None = None, how: Profiles = Profiles()) -> DataFrame:
-    """key, topic, similarity, rank.  ``profile_texts``: topic, text, a row for each topic; the title counts twice."""
+    """key, topic, similarity, rank.  ``profile_texts``: topic, text, a row for each topic; the title counts twice.
+
+    Rows of one key are one document, rows without a key none.  Documents of one row meet the
+    profiles in their tasks; those of several, and all where profiles have more than
+    ``SENT_FEATURES`` features, by joins.
+    """
     counts = features(profile_texts, "topic", "text", how)
     idf = written(inverse_frequency(counts, "topic"))
     profiles = written(vectors(counts, "topic", idf, how))
-    docs = documents.select(key, F.concat_ws(" ", title, title, text).alias("__all"), normalize_words(F.concat_ws(" ", title, text)).alias("__norm"))
-    mine = written(known_vectors(docs, key, "__all", idf, how))  # read twice
-    gate = None
-    if anchors:
-        free = profiles.select("topic").distinct().filter(~F.col("topic").isin(*anchors)).agg(F.collect_list("topic").alias("__free"))  # the topics, one row
-        allowed = F.array_compact(F.array(*[F.when(anchored(F.col("__norm"), *rule), F.lit(t)) for t, rule in anchors.items()]))
-        gate = docs.crossJoin(F.broadcast(free)).select(key, F.concat(allowed, F.col("__free")).alias("__allowed"))
-    scores = near_topics(mine, key, profiles, gate, how).withColumn("similarity", round_even(F.col("similarity"), 6))
-    return select_topics(scores, key, how)
+    met = F.array_compact(F.array(*[F.when(anchored(F.col("__norm"), *rule), F.lit(t)) for t, rule in anchors.items()])) if anchors else F.array().cast("array<string>")
+    docs = documents.filter(F.col(key).isNotNull()).select(key, F.concat_ws(" ", title, title, text).alias("__all"), normalize_words(F.concat_ws(" ", title, text)).alias("__norm")).select(key, "__all", met.alias("__met"))
+
+    def joined(docs: DataFrame) -> DataFrame:
+        mine = written(known_vectors(docs, key, "__all", idf, how))
+        gate = None
+        if anchors:
+            free = profiles.select("topic").distinct().filter(~F.col("topic").isin(*anchors)).agg(F.collect_list("topic").alias("__free"))  # the topics, one row
+            own = docs.select(key, F.explode_outer("__met").alias("__one")).groupBy(key).agg(F.collect_set("__one").alias("__some"))
+            gate = own.crossJoin(F.broadcast(free)).select(key, F.concat("__some", "__free").alias("__allowed"))
+        return near_topics(mine, key, profiles, gate, how)
+
+    if idf.count() > SENT_FEATURES:
+        scores = joined(docs)
+    else:
+        several = written(documents.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key))
+        some = not several.isEmpty()
+        single = _spread(docs.join(several, key, "left_anti") if some else docs).select(key, normalize_words(F.col("__all")).alias("__norm_all"), "__met")
+        scores = near_in_tasks(single, key, profiles, idf, list(anchors or {}), how)
+        if some:
+            scores = scores.unionByName(joined(docs.join(several, key, "left_semi")))
+    return select_topics(scores.withColumn("similarity", round_even(F.col("similarity"), 6)), key, how)
 
 
 @dataclass(frozen=True)
@@ -311,4 +376,4 @@ def classify(scored: DataFrame, lexical_minimum: float, classifier: Callable[[Co
     return asked.unionByName(scored.filter(~ask).withColumn("result", F.when(by_lexical, lexical).otherwise(semantic)), allowMissingColumns=True)
 
 
-__all__ = ["Cascade", "Outside", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "known_vectors", "lexical_topics", "near_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]
+__all__ = ["Cascade", "Outside", "Profiles", "anchored", "classify", "contains_phrase", "cosine", "decide", "features", "inverse_frequency", "known_vectors", "lexical_topics", "near_in_tasks", "near_topics", "phrase_candidates", "rejected", "select_topics", "semantic_topics", "vectors"]
