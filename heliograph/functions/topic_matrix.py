@@ -10,29 +10,46 @@ import numpy as np
 SLACK = 2e-6
 
 
-class _Words(dict):
-    """Word to number, with its place among the profiles' words (-1: in none) and the features inside it, looked up when first seen."""
-
-    def __init__(self, places: dict[str, int], features: dict[str, int], low: int, high: int) -> None:
-        super().__init__()
-        self.places, self.features, self.lengths = places, features, range(low, high + 1)
-        self.place: list[int] = []
-        self.inside: list[np.ndarray] = []
-        self.held = 0
-
-    def __missing__(self, word: str) -> int:
-        padded, get = f" {word} ", self.features.get
-        found = (get("c:" + padded[k : k + n], -1) for n in self.lengths for k in range(len(padded) - n + 1))
-        inside = np.fromiter((f for f in found if f >= 0), np.int64)
-        self[word] = number = len(self.place)
-        self.place.append(self.places.get(word, -1))
-        self.inside.append(inside)
-        self.held += len(inside) + 30  # about the words an entry takes beside its features
-        return number
-
-    def forget(self) -> None:
-        self.clear()
-        self.place, self.inside, self.held = [], [], 0
+#: Bytes to symbols: a space is 0, then letters and digits; normalised texts have no others.
+_SYMBOL = np.zeros(256, np.int32)
+_SYMBOL[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = np.arange(1, 37)
+
+
+class Grams:
+    """Runs of characters as a tree: each step of all places of a text is one look into a table."""
+
+    def __init__(self, grams: dict[str, int], low: int, high: int) -> None:
+        self.low, self.high = low, high
+        nodes, steps, ends = {"": 0}, [], []
+        for gram, k in grams.items():
+            for n in range(1, len(gram) + 1):
+                if gram[:n] not in nodes:
+                    nodes[gram[:n]] = len(nodes)
+                    steps.append((nodes[gram[: n - 1]] * 37 + int(_SYMBOL[ord(gram[n - 1])]), nodes[gram[:n]]))
+            ends.append((nodes[gram], k))
+        self.next = np.full((len(nodes) + 1) * 37, len(nodes), np.int32)  # the last node leads nowhere but to itself
+        self.feature = np.full(len(nodes) + 1, -1, np.int32)
+        if grams:
+            at, to = np.array(steps).T
+            self.next[at] = to
+            at, to = np.array(ends).T
+            self.feature[at] = to
+
+    def found(self, texts: list[str], width: int) -> list[np.ndarray]:
+        """Number of the text times ``width`` plus the feature, of each run inside a word with a space on either side."""
+        padded = [f" {t.replace(' ', '  ')} " if t else "" for t in texts]
+        row = np.repeat(np.arange(len(texts)) * width, np.fromiter(map(len, padded), np.int64, len(padded)))
+        symbol = _SYMBOL[np.frombuffer("".join(padded).encode("ascii"), np.uint8)]
+        node, out = np.zeros(len(symbol), np.int32), []
+        for n in range(1, self.high + 1):
+            if n > len(symbol):
+                break
+            node = self.next[node[: len(symbol) - n + 1] * 37 + symbol[n - 1 :]]
+            if n >= self.low:
+                f = self.feature[node]
+                at = np.flatnonzero(f >= 0)
+                out.append(row[at] + f[at])
+        return out
 
 
 class TopicMatrix:
@@ -44,15 +61,15 @@ class TopicMatrix:
     entry.  ``lengths``: shortest and longest run of words and of characters.
     """
 
-    most_cells, most_chars, most_held = 2_000_000, 1 << 20, 4_000_000
+    most_cells, most_chars = 2_000_000, 1 << 20
 
     def __init__(self, names: list[str], weights: np.ndarray, topics: int, entries: tuple[np.ndarray, np.ndarray, np.ndarray], lengths: tuple[int, int, int, int]) -> None:
         self.low, self.high, char_low, char_high = lengths
         self.weights, self.topics, self.width = weights, topics, max(1, len(names))
-        numbers = {name: k for k, name in enumerate(names)}
+        grams = {name[2:]: k for k, name in enumerate(names) if name.startswith("c:")}
         runs = [(name[2:].split(" "), k) for k, name in enumerate(names) if name.startswith("w:")]
-        places = {w: k for k, w in enumerate(sorted({w for run, _ in runs for w in run}))}
-        self.words = _Words(places, numbers, char_low, char_high)
+        self.places = places = {w: k for k, w in enumerate(sorted({w for run, _ in runs for w in run}))}
+        self.grams = Grams(grams, char_low, char_high)
         self.base = max(1, len(places))
         self._tree([([places[w] for w in run], k) for run, k in runs])
         feature, topic, value = entries
@@ -81,14 +98,17 @@ class TopicMatrix:
         for run, k in runs:
             self.feature[len(run) - 1][number[tuple(run)]] = k
 
-    def _counted(self, texts: list[list[str]], carried: int = 0) -> np.ndarray:
-        """Counts, texts by features.  The first ``carried`` words only begin runs: they were counted before."""
-        sizes = np.array([len(t) for t in texts])
-        row, words = np.repeat(np.arange(len(texts)), sizes), self.words
-        flat = np.array([words[w] for t in texts for w in t], np.int64)
-        place = np.array(words.place, np.int64)[flat] if len(flat) else flat
-        node, codes, times = place, [], []
+    def _counted(self, texts: list[str], tail: list[str] | None = None) -> np.ndarray:
+        """Counts, texts by features.  ``tail``: the words before a single text, which only begin its runs: they were counted before."""
+        words, carried, get = [t.split() for t in texts], len(tail or ()), self.places.get
+        if tail:
+            words = [tail + words[0]]
+        row = np.repeat(np.arange(len(words)), [len(t) for t in words])
+        place = np.array([get(w, -1) for t in words for w in t], np.int64)
+        node, codes = place, self.grams.found(texts, self.width)
         for n in range(1, self.high + 1):
+            if n > len(place):
+                break
             if n > 1:
                 key = node[:-1] * self.base + place[n - 1 :]
                 at = np.flatnonzero((node[:-1] >= 0) & (place[n - 1 :] >= 0) & (row[: len(key)] == row[n - 1 :]))
@@ -102,28 +122,18 @@ class TopicMatrix:
                 f, at = self.feature[n - 1][node[at]], at + n - 1
                 good = (f >= 0) & (at >= carried)
                 codes.append(row[at[good]] * self.width + f[good])
-                times.append(np.ones(len(codes[-1])))
-            if not len(node):
-                break
-        seen, n = np.unique(row[carried:] * len(words.place) + flat[carried:], return_counts=True)
-        of, word = np.divmod(seen, max(1, len(words.place)))
-        inside = [words.inside[w] for w in word.tolist()]
-        held = np.fromiter(map(len, inside), np.int64, len(inside))
-        codes.append(np.concatenate([np.zeros(0, np.int64), *inside]) + np.repeat(of * self.width, held))
-        times.append(np.repeat(n, held))
-        return np.bincount(np.concatenate(codes), np.concatenate(times), len(texts) * self.width).reshape(len(texts), self.width)
+        return np.bincount(np.concatenate([np.zeros(0, np.int64), *codes]), minlength=len(texts) * self.width).reshape(len(texts), self.width)
 
     def _counts_of_long(self, text: str) -> np.ndarray:
         """``_counted`` of one text, a bounded part at a time."""
-        total, tail, at = 0, [], 0
+        total, tail, at = np.zeros((1, self.width), np.int64), [], 0
         while at < len(text):
             end = text.find(" ", at + self.most_chars)
             end = len(text) if end < 0 else end
-            part = tail + text[at:end].split()
-            total = total + self._counted([part], len(tail))
-            tail, at = part[len(part) - min(len(part), self.high - 1) :], end
-            if self.words.held > self.most_held:
-                self.words.forget()
+            part = text[at:end].strip(" ")
+            total += self._counted([part], tail)
+            last = tail + part.split()
+            tail, at = last[max(0, len(last) - self.high + 1) :], end
         return total
 
     def _similar(self, counts: np.ndarray) -> np.ndarray:
@@ -158,12 +168,10 @@ class TopicMatrix:
             while end < min(len(texts), at + self.rows) and chars + len(texts[end]) <= self.most_chars:
                 chars += len(texts[end])
                 end += 1
-            if self.words.held > self.most_held:
-                self.words.forget()
             if chars > self.most_chars:
                 counts = self._counts_of_long(texts[at])
             else:
-                counts = self._counted([t.split() for t in texts[at:end]])
+                counts = self._counted(texts[at:end])
             s = self._similar(counts)
             if barred is not None:
                 for k, topics in enumerate(barred[at:end]):
